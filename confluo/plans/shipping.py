@@ -10,10 +10,19 @@ from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
 
+#: Rows of an Arrow batch: whole texts are long, and a worker holds a batch several times over.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
-    """Spark's own file server carries a zip of the package's sources (some 100 kB) to the executors."""
+    """Spark's own file server carries a zip of the package's sources (some 100 kB) to the executors.
+
+    Arrow batches of the session are made small enough for whole texts on the way.
+    """
     sc = spark.sparkContext
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if sc.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
