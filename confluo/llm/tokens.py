@@ -46,10 +46,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def _slices(texts: list[bytes]) -> Iterator[list[str]]:
+def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
     some, size = [], 0
     for text in texts:
-        some.append(text.decode("utf-8", "replace"))
+        some.append(text)
         size += len(text)
         if size >= SLICE_BYTES:
             yield some
@@ -70,7 +70,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit:
         known = vocabulary(spec)
 
         def score(texts: list[bytes]) -> list[pa.Array]:
-            n = [c for part in _slices(texts) for c in known.count(part).tolist()]
+            n = [c for part in _slices(texts) for c in known.count([t.decode() for t in part]).tolist()]
             return [
                 pa.array([len(t) for t in texts], pa.int64()),
                 pa.array(n, pa.int64()),
@@ -109,7 +109,7 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], list[np.ndarray]]:
     lengths = np.frombuffer(data, "<u8", docs, at + docs * 9).astype(np.int64)
     words = np.frombuffer(data, "<u8", n_words, at + docs * 17 + n_offsets * 4)
     values = simple8b.decode(words, n)
-    return [d if k else None for d, k in zip(ids, known, strict=True)], np.split(values, np.cumsum(lengths)[:-1]) if docs else []
+    return [d if k else None for d, k in zip(ids, known, strict=True)], np.split(values.astype("<u4"), np.cumsum(lengths)[:-1]) if docs else []
 
 
 _SEGMENT = T.StructType(
@@ -190,7 +190,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 doc_ids, ids = unpack_segment(payload)
                 lengths = np.array([len(x) for x in ids], np.int64)
                 starts = offsets[part] + begun + np.cumsum(lengths) - lengths
-                crcs = [zlib.crc32(x.astype("<u4").tobytes()) for x in ids]
+                crcs = [zlib.crc32(x) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array(lengths), pa.array(crcs, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],

@@ -17,8 +17,10 @@ import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Known strings that one Python worker keeps.
-KEPT = 600_000
+from .wordtable import LONGEST, WordTable
+
+#: Known pre-tokens that one Python worker keeps.
+KEPT = 400_000
 
 #: Pre-token pattern of byte-level BPE (a fixed value, as in public_tokenizers.PATTERN).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -55,13 +57,14 @@ class Vocabulary:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self._model = self.tokenizer.model
         self.special = {t["content"]: t["id"] for t in shape.get("added_tokens", [])}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in shape.get("added_tokens", [])):
             raise ValueError("added tokens that take in neighbouring text are not supported")
         self._split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._words = regex.compile(PATTERN)
         self._pieces: dict[str, int] = {}
-        self._inner = _Known(self.stretch)
+        self._table = WordTable(self._word, 1 << 23)
         self._tails: dict[str, bytes] = {}
 
     def _sections(self, text: str) -> list[str]:
@@ -97,42 +100,64 @@ class Vocabulary:
                 specials[i] += int(n @ np.fromiter(seen.values(), np.int64, len(seen)))
         return specials
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text.
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Token ids of each text (UTF-8).
 
         A space before a character that is no white space always starts a pre-token, so texts are cut there; each
-        distinct stretch between cuts is encoded once while a worker remembers it.
+        distinct stretch between cuts is encoded once while a worker remembers it, and looked up for all texts together.
+        Texts with special strings, with white space after a space or with very long words are encoded whole.
         """
-        out = []
-        for text in texts:
-            ids = []
-            for k, part in enumerate(self._sections(text)):
-                if k % 2:
-                    ids.append(_packed([self.special[part]]))
-                    continue
-                words = part.split(" ")
-                try:
-                    ids += [self._whole(words[0]), b"".join(map(self._inner.__getitem__, words[1:]))]
-                except _Uncut:
-                    ids.append(self._whole(part))
-            out.append(np.frombuffer(b"".join(ids), "<u4"))
+        out: list[np.ndarray | None] = [None] * len(texts)
+        data = b"".join(texts)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        block = np.frombuffer(data, np.uint8)
+        spaces = np.flatnonzero(block == 32)
+        firsts = (ends - sizes)[sizes > 0]
+        word_starts = np.sort(np.concatenate([firsts, spaces + 1]), kind="stable")
+        # a space that ends a text gives an empty word at the text's end, which is where the next text's first one starts
+        word_ends = np.sort(np.concatenate([ends[sizes > 0], spaces]), kind="stable")
+        whole = np.zeros(len(texts), bool)
+        doc_of_space = np.searchsorted(ends, spaces, side="right")
+        whole[doc_of_space[_blank_after(block, spaces)]] = True
+        whole[doc_of_space[spaces + 1 == ends[doc_of_space]]] = True
+        special = [s.encode() for s in self.special]
+        if any(s in data for s in special):
+            whole |= np.fromiter((any(s in t for s in special) for t in texts), bool, len(texts))
+        docs = np.searchsorted(ends, word_starts, side="right")
+        docs = np.minimum(docs, len(texts) - 1)
+        long = word_ends - word_starts > LONGEST
+        whole[docs[long]] = True
+        good = ~whole[docs]
+        word_starts, word_ends, docs = word_starts[good], word_ends[good], docs[good]
+        heads = word_starts == (ends - sizes)[docs]
+        ids, counts, doubtful = self._table.look_up(data, word_starts, word_ends, heads)
+        whole[docs[doubtful]] = True
+        stops = np.cumsum(np.bincount(docs, counts, len(texts)).astype(np.int64))
+        begun = 0
+        for i, stop in enumerate(stops.tolist()):
+            out[i] = self._by_sections(texts[i].decode("utf-8", "replace")) if whole[i] else ids[begun:stop]
+            begun = stop
         return out
 
-    def _whole(self, text: str) -> bytes:
-        return _packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids) if text else b""
+    def _by_sections(self, text: str) -> np.ndarray:
+        parts = self._sections(text)
+        return np.frombuffer(b"".join(_packed([self.special[p]]) if k % 2 else self._whole(p) for k, p in enumerate(parts)), "<u4")
 
-    def stretch(self, word: str) -> bytes:
-        """Ids of a space and ``word``, which holds no space."""
-        if not word or word[0].isspace():
-            raise _Uncut
-        plain = _WORD.fullmatch(word)
+    def _word(self, word: bytes, head: bool) -> bytes:
+        """Ids of a word, with a space before it unless it is a text's first."""
+        text = word.decode("utf-8", "replace")
+        plain = None if head else _WORD.fullmatch(text)
         if plain is None:
-            return self._whole(" " + word)
+            return self._whole(text if head else " " + text)
         letters, rest = plain.groups()
         mapped = letters if letters.isascii() else "".join(map(_BYTE_SIGNS.__getitem__, letters.encode()))
-        ids = _packed([t.id for t in self.tokenizer.model.tokenize(_BYTE_SIGNS[32] + mapped)])
+        ids = _packed([t.id for t in self._model.tokenize(_SPACE + mapped)])
         return ids + self._tail(rest) if rest else ids
 
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids) if text else b""
+
     def _tail(self, rest: str) -> bytes:
         if rest not in self._tails:
             if len(self._tails) > 10_000:
@@ -141,22 +166,15 @@ class Vocabulary:
         return self._tails[rest]
 
 
-class _Uncut(Exception):
-    """White space follows a space: the text can't be cut at its spaces."""
-
-
-class _Known(dict):
-    """Ids of stretches, found on first use; cleared when ``KEPT`` are known."""
-
-    def __init__(self, find):
-        self._find = find
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self._find(word)
-        if len(self) >= KEPT:
-            self.clear()
-        self[word] = ids
-        return ids
+def _blank_after(block: np.ndarray, spaces: np.ndarray) -> np.ndarray:
+    """Which of the spaces have white space after them, by the UTF-8 bytes that follow."""
+    padded = np.concatenate([block, np.zeros(3, np.uint8)])
+    a, b, c = (padded[spaces + k] for k in (1, 2, 3))
+    blank = ((a >= 9) & (a <= 13)) | ((a >= 28) & (a <= 32)) | ((a == 0xC2) & ((b == 0x85) | (b == 0xA0)))
+    blank |= (a == 0xE1) & (b == 0x9A) & (c == 0x80)
+    blank |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+    blank |= (a == 0xE2) & (b == 0x81) & (c == 0x9F)
+    return blank | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -171,5 +189,6 @@ def _byte_signs() -> list[str]:
 
 
 _BYTE_SIGNS = _byte_signs()
+_SPACE = _BYTE_SIGNS[32]
 #: A run of letters (also with accents), then signs that start a pre-token of their own after a letter.
 _WORD = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?)\\]}\"%&$*#]*)")
