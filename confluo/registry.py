@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from .plans.shipping import ship
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -15,7 +17,12 @@ def query(sql: str | None = None):
     """Registers a query under its function's name."""
 
     def register(function: Callable[[SparkSession, str], DataFrame]):
-        _QUERIES[function.__name__] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        _QUERIES[function.__name__] = run
         if sql:
             _SQL[function.__name__] = sql
         return function
@@ -23,19 +30,18 @@ def query(sql: str | None = None):
     return register
 
 
-@query(sql="SELECT doc_id, substr(md5(text), 1, 12) AS content_key FROM documents")
-def content_hash48(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.select("doc_id", F.substring(F.md5(F.col("text").cast("binary")), 1, 12).alias("content_key"))
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content_hash48(spark, sf_dir)
+    """Exact and near duplicate clusters of documents, with the best document of each."""
+    return queries()["duplicate_clusters"](spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES
+    from . import queries as _registered  # noqa: F401  registers on import
+
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL
+    from . import queries as _registered  # noqa: F401
+
+    return dict(_SQL)
