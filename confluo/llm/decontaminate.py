@@ -253,27 +253,36 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without benchmark passages: spans of over ``max_words`` hit words are cut out of the texts, and documents
     of which over ``max_coverage`` of the words are hit are removed.  Clean documents are returned as they are."""
-    found = find_leaks(docs, benchmark, text_col, window)
-    covered = F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    found = found.filter(covered <= F.col("n_words") * F.lit(max_coverage))
-    schema = T.StructType([f for f in docs.schema.fields])
-    arrow, columns = to_arrow_schema(schema), docs.columns
-    ordered = found.select(*[F.col(f"`{c}`") for c in columns], F.col("hits").alias("__cf_hits"))
-    text_at = columns.index(text_col)
+    spark, columns = docs.sparkSession, docs.columns
+    ship(spark)
+    groups = read_items(benchmark, window=window)
+    arrow, text_at = to_arrow_schema(docs.schema), columns.index(text_col)
+    several = len(groups) > 1
+    if several:  # spans of all groups first
+        hits = F.col("hits").alias("__cf_hits")
+        source = find_leaks(docs, benchmark, text_col, window).select(*[F.col(f"`{c}`") for c in columns], hits)
+    else:
+        source = docs
+    shared = spark.sparkContext.broadcast([] if several else groups[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = None if several else _automaton(shared.value, window)
         for batch in batches:
-            texts = batch.column(text_at).cast(pa.binary()).to_pylist()
-            for i, hits in enumerate(batch.column(len(columns)).to_pylist()):
-                long = [s for s in hits if s[1] - s[0] > max_words]
-                if long:
-                    texts[i] = _without(texts[i], long)
+            texts, kept = batch.column(text_at).cast(pa.binary()).to_pylist(), []
+            found = batch.column(len(columns)).to_pylist() if several else None
+            for i, text in enumerate(texts):
+                words = words_of(text or b"")
+                spans = found[i] if several else _merged(automaton.match(words)[0])
+                kept.append(sum(b - a for a, b in spans) <= max_coverage * len(words))
+                long = [s for s in spans if s[1] - s[0] > max_words]
+                if long and kept[-1]:
+                    texts[i] = _without(text, long)
             cut = pa.array([None if t is None else t.decode() for t in texts], arrow.field(text_at).type)
-            kept = [*batch.columns[:text_at], cut, *batch.columns[text_at + 1 : -1]]
-            kept = [c if c.type == f.type else c.cast(f.type) for c, f in zip(kept, arrow, strict=True)]
-            yield pa.RecordBatch.from_arrays(kept, schema=arrow)
+            out = [*batch.columns[:text_at], cut, *batch.columns[text_at + 1 : len(columns)]]
+            out = [c if c.type == f.type else c.cast(f.type) for c, f in zip(out, arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays(out, schema=arrow).filter(pa.array(kept, pa.bool_()))
 
-    return ordered.mapInArrow(run, schema)
+    return source.mapInArrow(run, docs.schema)
 
 
 def items_digest(names: list[str]) -> str:

@@ -26,16 +26,16 @@ from pyspark.sql import types as T
 from ..plans.shipping import ship
 from ..plans.storage import new_path
 from . import simple8b
-from .textio import add_columns, texts_of
+from .textio import add_columns, give_back, texts_of
 from .vocabulary import read_spec, vocabulary
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
 END_ID = 2
 #: Ids after which a segment is closed; a longer document has a segment to itself.
-SEGMENT_IDS = 1 << 20
+SEGMENT_IDS = 1 << 19
 #: Texts handled at a time inside an Arrow batch, in bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _MAGIC = b"S8B1"
 _HEAD = struct.Struct("<4sIQII")  # magic, documents, ids, words, block offsets
 
@@ -169,6 +169,7 @@ def write_token_files(
                     at += 1
         if ids:
             yield segment()
+        give_back()
 
     ordered.mapInArrow(run, _SEGMENT).write.option("compression", "zstd").parquet(path)
 
@@ -195,6 +196,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(doc_ids, pa.int64()), pa.array(starts), pa.array(lengths), pa.array(crcs, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
+        give_back()
 
     return segments.select("part", "start_in_part", "payload").mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long"

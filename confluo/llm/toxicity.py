@@ -30,7 +30,7 @@ TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 32, 5
 #: Words apart at which an insult counts as near a second person.
 NEAR = 6
 #: Token classes that a worker remembers.
-KEPT = 400_000
+KEPT = 150_000
 
 #: Insults and abuse (fixed values).
 LEXICON = frozenset(

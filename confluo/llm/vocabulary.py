@@ -64,7 +64,7 @@ class Vocabulary:
         self._split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._words = regex.compile(PATTERN)
         self._pieces: dict[str, int] = {}
-        self._table = WordTable(self._word, 1 << 23)
+        self._table = WordTable(self._word, 1 << 20)
         self._tails: dict[str, bytes] = {}
 
     def _sections(self, text: str) -> list[str]:

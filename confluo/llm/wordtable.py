@@ -12,7 +12,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Slots of the table, words it holds at most before it starts afresh, and bytes of a word at most.
-SLOT_BITS, KEPT, LONGEST = 22, 2_500_000, 64
+SLOT_BITS, KEPT, LONGEST = 21, 1_400_000, 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
