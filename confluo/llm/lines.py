@@ -4,7 +4,9 @@ A line is the set of its words (A-Z lower-cased, cut at white space).  Lines wit
 by the first.  Words are ordered by rarity: occurrences over the whole corpus in 2**20 hash buckets (a table of fixed
 size), then the hash; any one order makes the join exact, rarity makes it small.  Two sets with Jaccard similarity of
 at least t share a word among their first n - ceil(t n) + 1 words, so only those prefixes meet; pairs must then pass the
-length filter and the positional filter, and the survivors' sets are fetched from the texts and compared exactly.
+length filter, the positional filter and a bound by 64 parities of words, and the survivors' sets are fetched from the
+texts and compared exactly.  Of each class only the earliest and the latest earlier candidate are compared; only where both
+fail are all the others, so groups of many similar lines give no pairs of all with all.
 A line is removed if an earlier line (by document id, then place) of the corpus is equal or similar to it.
 """
 
@@ -14,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,52 +23,90 @@ from ..plans.shipping import ship
 from ..plans.storage import store
 
 THRESHOLD = 0.8
-#: Hash buckets of word counts (fixed), and word hashes that a worker remembers.
+#: Hash buckets of word counts (fixed), and classes that a task remembers to have given.
 BUCKETS, KEPT = 1 << 20, 300_000
 #: Candidate documents up to which their ids are broadcast to the texts; beyond, they are joined by a shuffle.
 BROADCAST_DOCS = 200_000
-_LINES_AT_ONCE = 1 << 12
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_HASHES = _Hashes()
-
-
-def _line_sets(text: bytes) -> list[tuple[int, set[bytes]]]:
-    """(line number, words) of the lines that have words."""
-    return [(i, s) for i, line in enumerate(text.lower().split(b"\n")) if (s := set(line.split()))]
-
-
-class _Sets:
-    """Word hashes of many lines, one after the other."""
-
-    def __init__(self, sets: list[set[bytes]]):
-        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        self.ends = np.cumsum(self.sizes)
-        get = _HASHES.__getitem__
-        self.hashes = np.fromiter((get(w) for s in sets for w in s), np.uint64, int(self.ends[-1]) if len(sets) else 0)
-
-    def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits that equal sets share, whatever their order."""
-        if not len(self.sizes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        starts = self.ends - self.sizes
-        mixed = (self.hashes ^ (self.hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        return np.add.reduceat(self.hashes, starts).view(np.int64), np.bitwise_xor.reduceat(mixed, starts).view(np.int64)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_NEWLINE = 10
+_BASE = 0x9E3779B97F4A7C15 | 1
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS.get("up", ())) < n:
+        size = max(n, 1 << 20)
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            row = np.full(size, base, np.uint64)
+            row[0] = 1
+            _POWERS[name] = np.cumprod(row)
+    return _POWERS["up"], _POWERS["down"]
+
+
+class _Lines:
+    """The lines with words of some texts: text and line number, and the 64-bit hashes of their words."""
+
+    def __init__(self, texts: list[bytes]):
+        data = b"\n".join(texts).lower()  # of bytes: A-Z only
+        block = np.frombuffer(data, np.uint8)
+        blank = _SPACE[block]
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
+        starts, ends = edges[::2], edges[1::2]
+        newlines = np.flatnonzero(block == _NEWLINE)
+        line = np.searchsorted(newlines, starts)
+        first = np.flatnonzero(np.diff(line, prepend=-1))
+        self.counts = np.diff(np.append(first, len(line)))  # words, repeats included
+        self.firsts = first
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])]) if texts else np.zeros(0, np.int64)
+        lines = line[first]
+        self.text = np.searchsorted(begins, starts[first], side="right") - 1
+        self.number = lines - np.searchsorted(newlines, begins)[self.text] if len(first) else lines
+        up, down = _powers(len(block) + 1)
+        sums = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum((block.astype(np.uint64) + np.uint64(1)) * up[: len(block)], out=sums[1:])
+        hashes = (sums[ends] - sums[starts]) * down[starts]
+        hashes ^= hashes >> np.uint64(32)
+        hashes *= _MIX
+        self.hashes = hashes ^ (hashes >> np.uint64(29))
+
+    def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(lines, word hashes in order, which are the first of their kind), for lines of like length at a time."""
+        widths = 1 << np.ceil(np.log2(np.maximum(self.counts, 1))).astype(np.int64)
+        for width in np.unique(widths).tolist():
+            every = np.flatnonzero(widths == width)
+            step = max(1, (1 << 21) // width)
+            for at in range(0, len(every), step):
+                mine = every[at : at + step]
+                places = np.arange(width)
+                inside = places < self.counts[mine][:, None]
+                where = np.minimum(self.firsts[mine][:, None] + places, len(self.hashes) - 1)
+                words = np.sort(np.where(inside, self.hashes[where], _NONE), axis=1)
+                distinct = words != _NONE
+                distinct[:, 1:] &= words[:, 1:] != words[:, :-1]
+                yield mine, words, distinct
+
+
+def _keys(words: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(k1, k2, size) of sets: a sum of hashes, and 64 parities of words by the top bits of their hashes.
+
+    The parities are half the key of a set, and tell at least how many words two sets differ in.
+    """
+    k1 = np.where(distinct, words, np.uint64(0)).sum(1, dtype=np.uint64)
+    bits = np.where(distinct, np.uint64(1) << (words >> np.uint64(58)), np.uint64(0))
+    return k1.view(np.int64), np.bitwise_xor.reduce(bits, axis=1).view(np.int64), distinct.sum(1)
 
 
 _LINE_FIELDS = "kind int, doc long, hash long, line int, size int, k1 long, k2 long"
+_TEXTS_AT_ONCE = 500
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of kind 0: lines with words; 1: one per document; 2: bucket (k1) and occurrences (k2) in this task."""
+    """Rows of kind 0: lines with words; 1: one per document; 2: bucket (k1) and lines with its words (k2) in this task."""
     counts = np.zeros(BUCKETS, np.int64)
     names = ["kind", "doc", "hash", "line", "size", "k1", "k2"]
 
@@ -75,92 +114,102 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(k1)
         columns = [np.full(n, kind, np.int32), doc, hashed, line, size, k1, k2]
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays(
+            [c if isinstance(c, pa.Array) else pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types, strict=True)], names=names
+        )
 
     for whole in batches:
-        for start in range(0, whole.num_rows, 500):
-            batch = whole.slice(start, 500)
+        for start in range(0, whole.num_rows, _TEXTS_AT_ONCE):
+            batch = whole.slice(start, _TEXTS_AT_ONCE)
             docs, hashed = batch.column(0), batch.column(1)
-            sets, where, places = [], [], []
-            for at, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
-                for line, words in _line_sets(text or b""):
-                    sets.append(words)
-                    where.append(at)
-                    places.append(line)
             zeros = np.zeros(batch.num_rows, np.int64)
-            yield rows(1, docs, hashed, zeros.astype(np.int32), zeros.astype(np.int32), zeros, zeros)
-            if sets:
-                found = _Sets(sets)
-                k1, k2 = found.keys()
-                counts += np.bincount((found.hashes & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-                taken = pa.array(where, pa.int64())
-                yield rows(0, docs.take(taken), hashed.take(taken), places, found.sizes.astype(np.int32), k1, k2)
+            yield rows(1, docs, hashed, zeros, zeros, zeros, zeros)
+            found = _Lines([t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()])
+            for mine, words, distinct in found.rows():
+                k1, k2, size = _keys(words, distinct)
+                counts += np.bincount((words[distinct] & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+                taken = pa.array(found.text[mine])
+                yield rows(0, docs.take(taken), hashed.take(taken), found.number[mine], size, k1, k2)
     full = np.flatnonzero(counts)
     for start in range(0, len(full), 50_000):
         some = full[start : start + 50_000]
         none = pa.nulls(len(some), pa.int64())
-        yield rows(2, none, none, np.zeros(len(some), np.int32), np.zeros(len(some), np.int32), some, counts[some])
+        yield rows(2, none, none, np.zeros(len(some)), np.zeros(len(some)), some, counts[some])
 
 
 def prefix_length(sizes: np.ndarray, threshold: float) -> np.ndarray:
-    return sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
+    """Words of which two similar sets must share one; 0 for sets too small to be similar to any other."""
+    length = sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1
+    return np.where(sizes >= threshold * (sizes + 1) - 1e-9, length, 0)
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
-    """(code, k1, k2, size, place) for each word of each line's prefix; a task gives each class once while it remembers it.
+    """(code, k1, k2, size, place, doc, line) for each word of each line's prefix.
 
-    A code is the rank of the word's bucket and 32 more bits of its hash: words that share a code count as one word
-    here, which can only add candidates.
+    A task gives a class again only for an earlier line of it, while it remembers the class.  A code is the rank of the
+    word's bucket and 32 more bits of its hash: words that share a code count as one word here, which can only add
+    candidates.
     """
-    seen: set[int] = set()
-
-    def emit(sets: list[set[bytes]]) -> pa.RecordBatch:
-        found = _Sets(sets)
-        k1, k2 = found.keys()
-        if len(seen) > KEPT:
-            seen.clear()
-        fresh = np.zeros(len(sets), bool)
-        for i, key in enumerate(k1.tolist()):
-            if key not in seen:
-                seen.add(key)
-                fresh[i] = True
-        line = np.repeat(np.arange(len(sets), dtype=np.uint64), found.sizes)
-        rank = ranks[(found.hashes & np.uint64(BUCKETS - 1)).astype(np.int64)]
-        codes = (rank << np.uint64(32)) | (found.hashes >> np.uint64(32))
-        ordered = np.sort((line << np.uint64(52)) | codes) & np.uint64((1 << 52) - 1)
-        taken = np.where(fresh, prefix_length(found.sizes, threshold), 0)
-        which = np.repeat(np.arange(len(sets)), taken)
-        place = np.arange(len(which)) - np.repeat(np.cumsum(taken) - taken, taken)
-        at = (found.ends - found.sizes)[which] + place
-        columns = [ordered[at].astype(np.int64), k1[which], k2[which], found.sizes[which].astype(np.int32), place.astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["code", "k1", "k2", "size", "place"])
-
-    held: list[set[bytes]] = []
-    for batch in batches:
-        for text in batch.column(0).cast(pa.binary()).to_pylist():
-            for _, words in _line_sets(text or b""):
-                held.append(words)
-                if len(held) == _LINES_AT_ONCE:
-                    yield emit(held)
-                    held = []
-    if held:
-        yield emit(held)
+    seen: dict[tuple[int, int], tuple] = {}
+    for whole in batches:
+        for start in range(0, whole.num_rows, _TEXTS_AT_ONCE):
+            batch = whole.slice(start, _TEXTS_AT_ONCE)
+            docs = batch.column(0)
+            order = [(d is not None, d or 0) for d in docs.to_pylist()]
+            found = _Lines([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()])
+            if len(seen) > KEPT:
+                seen.clear()
+            for mine, words, distinct in found.rows():
+                k1, k2, size = _keys(words, distinct)
+                fresh = np.zeros(len(k1), bool)
+                places = zip(found.text[mine].tolist(), found.number[mine].tolist(), strict=True)
+                for i, (a, b, (text, line)) in enumerate(zip(k1.tolist(), k2.tolist(), places, strict=True)):
+                    at = (*order[text], line)
+                    if (a, b) not in seen or at < seen[a, b]:
+                        seen[a, b] = at
+                        fresh[i] = True
+                codes = (ranks[(words & np.uint64(BUCKETS - 1)).astype(np.int64)] << np.uint64(32)) | (words >> np.uint64(32))
+                codes = np.sort(np.where(distinct, codes, _NONE), axis=1)
+                taken = np.where(fresh, prefix_length(size, threshold), 0)
+                which, place = np.nonzero(np.arange(codes.shape[1]) < taken[:, None])
+                columns = {
+                    "code": pa.array(codes[which, place].astype(np.int64)),
+                    "k1": pa.array(k1[which]),
+                    "k2": pa.array(k2[which]),
+                    "size": pa.array(size[which].astype(np.int32)),
+                    "place": pa.array(place.astype(np.int32)),
+                    "doc": docs.take(pa.array(found.text[mine][which])),
+                    "line": pa.array(found.number[mine][which].astype(np.int32)),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k1, k2, words) of the wanted lines of each text: words as sorted distinct strings."""
+    """(doc, line, k1, k2, words) of the wanted lines of each text: the hashes of the distinct words."""
     for batch in batches:
-        k1, k2, sets = [], [], []
-        for text, lines in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            wanted = set(lines)
-            mine = [s for i, s in _line_sets(text or b"") if i in wanted]
-            if mine:
-                a, b = _Sets(mine).keys()
-                k1 += a.tolist()
-                k2 += b.tolist()
-                sets += [[w.decode("utf-8", "replace") for w in s] for s in mine]
+        docs = batch.column(0)
+        at, numbers, k1, k2, sets = [], [], [], [], []
+        for i, (text, lines) in enumerate(zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            wanted = np.array(sorted(lines), np.int64)
+            found = _Lines([text or b""])
+            for mine, words, distinct in found.rows():
+                hit = np.flatnonzero(np.isin(found.number[mine], wanted))
+                if len(hit):
+                    a, b, _ = _keys(words[hit], distinct[hit])
+                    at += [i] * len(hit)
+                    numbers += found.number[mine][hit].tolist()
+                    k1 += a.tolist()
+                    k2 += b.tolist()
+                    sets += [w[d].view(np.int64) for w, d in zip(words[hit], distinct[hit], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sets, pa.list_(pa.string()))], names=["k1", "k2", "words"]
+            [
+                docs.take(pa.array(at, pa.int64())),
+                pa.array(numbers, pa.int32()),
+                pa.array(k1, pa.int64()),
+                pa.array(k2, pa.int64()),
+                pa.array(sets, pa.list_(pa.int64())),
+            ],
+            names=["doc", "line", "k1", "k2", "words"],
         )
 
 
@@ -177,8 +226,9 @@ def _ranks(counts: DataFrame) -> np.ndarray:
 def line_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(lines, documents): lines with words as (doc, hash, line, removed), and one row (doc, hash) per row of ``docs``.
 
-    hash is the XXH64 of the text: rows with one id and other texts are ordered by it; rows that repeat id and text are
-    one document and treated alike.  Rows with a null id come first.  Null and empty texts and blank lines have no lines.
+    hash is the XXH64 of the text and tells rows of one id apart; lines at one place of rows that share an id don't remove
+    each other, so rows that repeat id and text are treated alike.  Rows with a null id come first.  Null and empty texts
+    and blank lines have no lines.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -187,49 +237,76 @@ def line_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scanned = store(texts.mapInArrow(_scan, _LINE_FIELDS), "lines")
     ranks = spark.sparkContext.broadcast(_ranks(scanned.filter("kind = 2").select("k1", "k2")))
     lines = scanned.filter("kind = 0")
-    classes = store(
-        lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "hash", "line")).alias("first")), "classes"
-    )
-    prefixes = texts.select("body").mapInArrow(
-        lambda batches: _prefixes(batches, ranks.value, threshold), "code long, k1 long, k2 long, size int, place int"
-    )
-    met = prefixes.repartition("code").dropDuplicates(["code", "k1", "k2"])
-    a, b = met.alias("a"), met.alias("b")
-    t = F.lit(threshold)
-    needed = F.ceil((F.col("a.size") + F.col("b.size")) * t / (1 + t) - 1e-9)
-    pairs = a.join(
-        b,
-        (F.col("a.code") == F.col("b.code"))
-        & ((F.col("a.k1") < F.col("b.k1")) | ((F.col("a.k1") == F.col("b.k1")) & (F.col("a.k2") < F.col("b.k2"))))
-        & (F.least("a.size", "b.size") >= F.greatest("a.size", "b.size") * t - 1e-9)
-        & (1 + F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place")) - 1 >= needed),
-    ).select(F.col("a.k1").alias("a1"), F.col("a.k2").alias("a2"), F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2"))
-    pairs = store(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a1").alias("k1"), F.col("a2").alias("k2")).union(pairs.select("b1", "b2")).distinct()
-    places = store(
-        classes.join(wanted, ["k1", "k2"]).select("first.*").groupBy("doc", "hash").agg(F.collect_set("line").alias("wanted")), "wanted"
+    spans = lines.agg(F.max(F.abs("doc")).alias("doc"), F.max("line").alias("line")).first()
+    small = (spans["doc"] or 0) < 1 << 41 and (spans["line"] or 0) < 1 << 20
+
+    def place_of(doc: Column, line: Column) -> Column:
+        """A line's place in the corpus, null ids first: one number where ids and lines are small, else a pair."""
+        if small:
+            return F.coalesce(doc, F.lit(-(1 << 41))) * F.lit(1 << 20) + line
+        return F.struct(doc.alias("doc"), line.alias("line"))
+
+    prefixes = texts.select("doc", "body").mapInArrow(
+        lambda batches: _prefixes(batches, ranks.value, threshold),
+        "code long, k1 long, k2 long, size int, place int, doc long, line int",
     )
-    few = places.count() <= BROADCAST_DOCS
-    theirs = (F.broadcast(places) if few else places).withColumnsRenamed({"doc": "of_doc", "hash": "of_hash"})
-    sets = store(
-        texts.join(theirs, F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_hash")))
-        .select("body", "wanted").mapInArrow(_fetch, "k1 long, k2 long, words array<string>").dropDuplicates(["k1", "k2"]),
-        "sets",
+    met = (
+        prefixes.select("code", "k1", "k2", (F.col("size").cast("long") * (1 << 31) + F.col("place")).alias("sp"), place_of(F.col("doc"), F.col("line")).alias("at"))
+        .repartition("code").groupBy("code", "k1", "k2", "sp").agg(F.min("at").alias("at"))
     )
-    left = sets.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("words").alias("wa"))
-    right = sets.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("words").alias("wb"))
-    common = F.size(F.array_intersect("wa", "wb"))
-    similar = pairs.join(left, ["a1", "a2"]).join(right, ["b1", "b2"]).filter(
-        common >= (F.size("wa") + F.size("wb") - common) * t - 1e-9
-    )
-    both = similar.select("a1", "a2", "b1", "b2").union(similar.select("b1", "b2", "a1", "a2")).toDF("k1", "k2", "o1", "o2")
-    of_other = classes.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("first").alias("other"))
-    earliest = both.join(of_other, ["o1", "o2"]).groupBy("k1", "k2").agg(F.min("other").alias("other"))
-    limits = store(
-        classes.join(earliest, ["k1", "k2"], "left").select("k1", "k2", F.least("first", F.coalesce("other", "first")).alias("limit")), "limits"
-    )
+    t = F.lit(threshold)
+
+    def candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
+        """(k1, k2, at, other): pairs of a class and a class that began earlier, which pass all filters."""
+        a, b = later.alias("a"), earlier.alias("b")
+        size_a, size_b = (F.shiftright(F.col(f"{s}.sp"), 31) for s in "ab")
+        left_a, left_b = (F.shiftright(F.col(f"{s}.sp"), 31) - F.col(f"{s}.sp").bitwiseAND((1 << 31) - 1) for s in "ab")
+        needed = F.ceil((size_a + size_b) * t / (1 + t) - 1e-9)
+        return a.join(
+            b,
+            (F.col("a.code") == F.col("b.code"))
+            & (F.col("b.at") < F.col("a.at"))
+            & (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * t - 1e-9)
+            & (F.least(left_a, left_b) >= needed)
+            & (F.bit_count(F.col("a.k2").bitwiseXOR(F.col("b.k2"))) <= size_a + size_b - 2 * needed)
+            & ((F.col("a.k1") != F.col("b.k1")) | (F.col("a.k2") != F.col("b.k2"))),
+        ).select(F.col("a.k1").alias("k1"), F.col("a.k2").alias("k2"), F.col("a.at").alias("at"), F.col("b.at").alias("other"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The (k1, k2) of ``pairs`` (k1, k2, at, other), a stored table, for which some line at ``other`` is similar."""
+        ends = pairs.select(F.col("at").alias("p")).union(pairs.select("other")).distinct()
+        doc = F.nullif(F.shiftright("p", 20), F.lit(-(1 << 41))) if small else F.col("p.doc")
+        line = F.col("p").bitwiseAND((1 << 20) - 1) if small else F.col("p.line")
+        places = ends.select(doc.alias("of_doc"), line.cast("int").alias("l")).groupBy("of_doc").agg(F.collect_set("l").alias("wanted"))
+        places = store(places, "wanted")
+        theirs = F.broadcast(places) if places.count() <= BROADCAST_DOCS else places
+        sets = store(
+            texts.join(theirs, F.col("doc").eqNullSafe(F.col("of_doc"))).select("doc", "body", "wanted")
+            .mapInArrow(_fetch, "doc long, line int, k1 long, k2 long, words array<long>")
+            .select(place_of(F.col("doc"), F.col("line")).alias("p"), "k1", "k2", "words"),
+            "sets",
+        )
+        mine = sets.select(F.col("p").alias("at"), "k1", "k2", F.col("words").alias("wa"))
+        others = sets.select(F.col("p").alias("other"), F.col("words").alias("wb"))
+        common = F.size(F.array_intersect("wa", "wb"))
+        return (
+            pairs.join(mine, ["at", "k1", "k2"]).join(others, "other")
+            .filter(common >= (F.size("wa") + F.size("wb") - common) * t - 1e-9).select("k1", "k2").distinct()
+        )
+
+    # of each class only its earliest and its latest candidate travel: one that holds is enough
+    found = store(candidates(met, met).groupBy("k1", "k2").agg(F.min("at").alias("at"), F.min("other").alias("lo"), F.max("other").alias("hi")), "earliest")
+    ends = store(found.select("k1", "k2", "at", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("other")), "ends")
+    similar = store(verified(ends), "similar")
+    # classes whose two candidates failed, and that may have others: all of theirs
+    open_ones = store(found.filter("lo <> hi").join(similar, ["k1", "k2"], "left_anti").select("k1", "k2"), "open")
+    if open_ones.limit(1).count():
+        every = store(candidates(met.join(open_ones, ["k1", "k2"], "left_semi"), met).distinct(), "every")
+        similar = store(similar.union(verified(every)).distinct(), "similar")
+    firsts = lines.groupBy("k1", "k2").agg(F.min(place_of(F.col("doc"), F.col("line"))).alias("first"))
+    limits = store(firsts.join(similar.withColumn("held", F.lit(True)), ["k1", "k2"], "left"), "limits")
     flagged = lines.join(limits, ["k1", "k2"]).select(
-        "doc", "hash", "line", (F.struct("doc", "hash", "line") > F.col("limit")).alias("removed")
+        "doc", "hash", "line", (F.coalesce("held", F.lit(False)) | (place_of(F.col("doc"), F.col("line")) > F.col("first"))).alias("removed")
     )
     return flagged, scanned.filter("kind = 1").select("doc", "hash")
 
