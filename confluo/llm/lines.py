@@ -57,15 +57,15 @@ class _Lines:
         blank = _SPACE[block]
         edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
         starts, ends = edges[::2], edges[1::2]
-        newlines = np.flatnonzero(block == _NEWLINE)
-        line = np.searchsorted(newlines, starts)
+        before = np.cumsum(block == _NEWLINE, dtype=np.int32)  # newlines up to each byte
+        line = before[starts]
         first = np.flatnonzero(np.diff(line, prepend=-1))
         self.counts = np.diff(np.append(first, len(line)))  # words, repeats included
         self.firsts = first
         begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])]) if texts else np.zeros(0, np.int64)
         lines = line[first]
         self.text = np.searchsorted(begins, starts[first], side="right") - 1
-        self.number = lines - np.searchsorted(newlines, begins)[self.text] if len(first) else lines
+        self.number = lines - np.where(begins > 0, before[np.maximum(begins, 1) - 1], 0)[self.text] if len(first) else lines
         up, down = _powers(len(block) + 1)
         sums = np.zeros(len(block) + 1, np.uint64)
         np.cumsum((block.astype(np.uint64) + np.uint64(1)) * up[: len(block)], out=sums[1:])
@@ -108,6 +108,8 @@ _TEXTS_AT_ONCE = 500
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of kind 0: lines with words; 1: one per document; 2: bucket (k1) and lines with its words (k2) in this task."""
     counts = np.zeros(BUCKETS, np.int64)
+    held: list[np.ndarray] = []
+    waiting = 0
     names = ["kind", "doc", "hash", "line", "size", "k1", "k2"]
 
     def rows(kind: int, doc, hashed, line, size, k1, k2) -> pa.RecordBatch:
@@ -127,9 +129,15 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = _Lines([t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()])
             for mine, words, distinct in found.rows():
                 k1, k2, size = _keys(words, distinct)
-                counts += np.bincount((words[distinct] & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+                held.append(words[distinct] & np.uint64(BUCKETS - 1))
+                waiting += len(held[-1])
+                if waiting > 4 * BUCKETS:
+                    counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=BUCKETS)
+                    held, waiting = [], 0
                 taken = pa.array(found.text[mine])
                 yield rows(0, docs.take(taken), hashed.take(taken), found.number[mine], size, k1, k2)
+    if held:
+        counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=BUCKETS)
     full = np.flatnonzero(counts)
     for start in range(0, len(full), 50_000):
         some = full[start : start + 50_000]
@@ -188,26 +196,28 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc, line, k1, k2, words) of the wanted lines of each text: the hashes of the distinct words."""
     for batch in batches:
         docs = batch.column(0)
-        at, numbers, k1, k2, sets = [], [], [], [], []
+        at, numbers, wanted, k1, k2, sets = [], [], [], [], [], []
         for i, (text, lines) in enumerate(zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            wanted = np.array(sorted(lines), np.int64)
-            found = _Lines([text or b""])
-            for mine, words, distinct in found.rows():
-                hit = np.flatnonzero(np.isin(found.number[mine], wanted))
-                if len(hit):
-                    a, b, _ = _keys(words[hit], distinct[hit])
-                    at += [i] * len(hit)
-                    numbers += found.number[mine][hit].tolist()
-                    k1 += a.tolist()
-                    k2 += b.tolist()
-                    sets += [w[d].view(np.int64) for w, d in zip(words[hit], distinct[hit], strict=True)]
+            split = (text or b"").split(b"\n")
+            wanted += [split[n] if n < len(split) else b"" for n in lines]
+            at += [i] * len(lines)
+            numbers += lines
+        found = _Lines(wanted)  # a line is a text here
+        kept: list[np.ndarray] = []
+        for mine, words, distinct in found.rows():
+            a, b, size = _keys(words, distinct)
+            kept.append(found.text[mine])
+            k1.append(a)
+            k2.append(b)
+            sets.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), pa.array(words[distinct].view(np.int64))))
+        order = np.concatenate(kept) if kept else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                docs.take(pa.array(at, pa.int64())),
-                pa.array(numbers, pa.int32()),
-                pa.array(k1, pa.int64()),
-                pa.array(k2, pa.int64()),
-                pa.array(sets, pa.list_(pa.int64())),
+                docs.take(pa.array(np.array(at, np.int64)[order])),
+                pa.array(np.array(numbers, np.int32)[order]),
+                pa.array(np.concatenate([np.zeros(0, np.int64), *k1])),
+                pa.array(np.concatenate([np.zeros(0, np.int64), *k2])),
+                pa.concat_arrays([pa.array([], pa.list_(pa.int64())), *sets]),
             ],
             names=["doc", "line", "k1", "k2", "words"],
         )
@@ -250,10 +260,14 @@ def line_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lambda batches: _prefixes(batches, ranks.value, threshold),
         "code long, k1 long, k2 long, size int, place int, doc long, line int",
     )
-    met = (
-        prefixes.select("code", "k1", "k2", (F.col("size").cast("long") * (1 << 31) + F.col("place")).alias("sp"), place_of(F.col("doc"), F.col("line")).alias("at"))
-        .repartition("code").groupBy("code", "k1", "k2", "sp").agg(F.min("at").alias("at"))
-    )
+    placed = prefixes.select(
+        "code", "k1", "k2", (F.col("size").cast("long") * (1 << 31) + F.col("place")).alias("sp"), place_of(F.col("doc"), F.col("line")).alias("at")
+    )
+
+    def by_code(rows: DataFrame) -> DataFrame:
+        return rows.repartition("code").groupBy("code", "k1", "k2", "sp").agg(F.min("at").alias("at"))
+
+    met = by_code(placed)
     t = F.lit(threshold)
 
     def candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
@@ -300,8 +314,11 @@ def line_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     similar = store(verified(ends), "similar")
     # classes whose two candidates failed, and that may have others: all of theirs
     open_ones = store(found.filter("lo <> hi").join(similar, ["k1", "k2"], "left_anti").select("k1", "k2"), "open")
-    if open_ones.limit(1).count():
-        every = store(candidates(met.join(open_ones, ["k1", "k2"], "left_semi"), met).distinct(), "every")
+    if n := open_ones.count():
+        theirs = store(placed.join(F.broadcast(open_ones) if n <= BROADCAST_DOCS else open_ones, ["k1", "k2"], "left_semi").select(*placed.columns), "openrows")
+        codes = store(theirs.select("code").distinct(), "codes")
+        sharing = placed.join(F.broadcast(codes) if codes.count() <= BROADCAST_DOCS else codes, "code", "left_semi").select(*placed.columns)
+        every = store(candidates(by_code(theirs), by_code(sharing)).distinct(), "every")
         similar = store(similar.union(verified(every)).distinct(), "similar")
     firsts = lines.groupBy("k1", "k2").agg(F.min(place_of(F.col("doc"), F.col("line"))).alias("first"))
     limits = store(firsts.join(similar.withColumn("held", F.lit(True)), ["k1", "k2"], "left"), "limits")
