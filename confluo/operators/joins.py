@@ -91,3 +91,9 @@ def alias_join(a: DataFrame, b: DataFrame, name: str, aliases: DataFrame) -> Dat
         return own.union(own.join(aliases.toDF("__n", "__a"), F.col("__v") == F.col("__n")).select(out, "__a")).distinct()
 
     return spread(a, "a_name").join(spread(b, "b_name"), "__v").select("a_name", "b_name").distinct()
+
+
+def reference_join(df: DataFrame, item: str, references: str) -> DataFrame:
+    """(item, other): rows linked with the rows of the same table that their array of references names; each link once."""
+    wanted = df.select(F.col(item).alias("item"), F.explode(references).alias("other")).filter("item <> other").distinct()
+    return wanted.join(df.select(F.col(item).alias("other")).distinct(), "other", "left_semi").select("item", "other")

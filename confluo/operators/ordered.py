@@ -63,3 +63,21 @@ def rank_index(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataFra
 def top_k(df: DataFrame, score: Column, ties: Sequence[Column], k: int) -> DataFrame:
     """The k best distinct rows: a bounded heap per task, never a global sort."""
     return df.distinct().orderBy(score.desc(), *ties).limit(k)
+
+
+def fill_whole(df: DataFrame, key: Sequence[str], order: Sequence[Column], value: str) -> DataFrame:
+    """Unknown values take the last known one of their whole key."""
+    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return df.withColumn(value, F.coalesce(value, F.last(value, ignorenulls=True).over(w)))
+
+
+def path_stack(df: DataFrame, key: Sequence[str], order: Sequence[Column], depth: str, name: str, deepest: int, out: str = "path") -> DataFrame:
+    """Paths of a tree listed depth-first: the names of the last row of each smaller depth (from 1), then the row's own.
+
+    Depths beyond ``deepest`` raise an error, as their path would lack names.
+    """
+    w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    level = F.when(F.col(depth) <= deepest, F.col(depth)).otherwise(F.raise_error(F.concat(F.lit("depth over the limit: "), F.col(depth).cast("string"))).cast("int"))
+    marked = df.withColumn("__depth", level)
+    at = [F.when(F.col("__depth") >= d, F.last(F.when(F.col("__depth") == d, F.col(name)), ignorenulls=True).over(w)) for d in range(1, deepest + 1)]
+    return marked.withColumn(out, F.concat_ws("/", *at)).drop("__depth")

@@ -36,12 +36,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import queries as _registered  # noqa: F401  registers on import
+    from . import fusion_queries, queries as _registered  # noqa: F401  register on import
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import queries as _registered  # noqa: F401
+    from . import fusion_queries, queries as _registered  # noqa: F401
 
     return dict(_SQL)
