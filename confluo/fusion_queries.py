@@ -97,6 +97,23 @@ def spread_in_components(spark, sf_dir):
     return _plain(fusion.spread(rows)).select("hash", "author", "publisher", "album", "year")
 
 
+@query(sql=f"""WITH {_RECORDS}, g AS (SELECT *, hash % 40 AS component FROM r),
+l AS (SELECT *, coalesce(min(CASE WHEN year > 0 THEN year END) OVER (PARTITION BY component), 0) AS least FROM g),
+s AS (SELECT *, {_score("least")} + CASE WHEN author <> '' THEN 1 ELSE 0 END AS score, (publisher <> '' OR album <> '' OR year <> 0) AS facts FROM l),
+c AS (SELECT *, rank() OVER (PARTITION BY component ORDER BY score DESC, CASE WHEN year = 0 THEN 9999 ELSE year END, author = '', publisher = '') AS rk FROM s
+WHERE facts AND (least = 0 OR (year > 0 AND year <= least + CASE WHEN type = 'Compo' THEN 2 ELSE 1 END))),
+v AS (SELECT *, count(*) OVER (PARTITION BY component, publisher, album) AS n FROM c WHERE rk = 1),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY component ORDER BY n DESC, priority, hash) AS rn FROM v) WHERE rn = 1),
+j AS (SELECT s.*, b.hash AS bh, b.author AS ba, b.publisher AS bp, b.album AS bb, b.year AS byr, b.score AS bs,
+coalesce(b.hash IS NOT NULL AND (NOT s.facts OR b.score > s.score OR (b.score = s.score AND b.year > 0 AND b.year < s.year)), false) AS taken FROM s LEFT JOIN b USING (component))
+SELECT hash, priority, CASE WHEN taken AND author = '' THEN ba ELSE author END AS author, CASE WHEN taken THEN bp ELSE publisher END AS publisher,
+CASE WHEN taken THEN bb ELSE album END AS album, CASE WHEN taken THEN byr ELSE year END AS year FROM j""")
+def spread_in_components_whole(spark, sf_dir):
+    """spread_in_components over the records of all priorities, of which a hash has one each."""
+    rows = _records(spark, sf_dir).withColumn("component", F.col("hash") % 40)
+    return _plain(fusion.spread(rows)).select("hash", "priority", "author", "publisher", "album", "year")
+
+
 @query(sql=f"""WITH {_RECORDS}, d AS (SELECT *, hash % 50 AS k FROM r WHERE priority = 2), x AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY CASE WHEN year > 0 THEN year ELSE 9999 END, author = '', hash) AS rn,
 first_value(author) OVER (PARTITION BY k ORDER BY author = '', hash) AS longest FROM d)
 SELECT k AS short_key, hash, CASE WHEN author = '' THEN longest ELSE author END AS author, publisher, album, year FROM x WHERE rn = 1""")
@@ -105,6 +122,15 @@ def merge_colliding(spark, sf_dir):
     return _plain(fusion.merge_colliding(rows, "short_key")).select("short_key", "hash", "author", "publisher", "album", "year")
 
 
+@query(sql=f"""WITH {_RECORDS}, d AS (SELECT *, hash % 50 AS k FROM r), x AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY CASE WHEN year > 0 THEN year ELSE 9999 END, author = '', hash, author, publisher, album, year, type, platform) AS rn,
+first_value(author) OVER (PARTITION BY k ORDER BY author = '', hash, author) AS longest FROM d)
+SELECT k AS short_key, hash, CASE WHEN author = '' THEN longest ELSE author END AS author, publisher, album, year FROM x WHERE rn = 1""")
+def merge_colliding_whole(spark, sf_dir):
+    """merge_colliding over the records of all priorities."""
+    rows = _records(spark, sf_dir).withColumn("short_key", F.col("hash") % 50)
+    return _plain(fusion.merge_colliding(rows, "short_key")).select("short_key", "hash", "author", "publisher", "album", "year")
+
+
 @query(sql=f"""WITH {_RECORDS}, d AS (SELECT *, priority = 3 OR type = 'Tool' AS variant FROM r),
 m AS (SELECT *, row_number() OVER (PARTITION BY album, publisher, variant ORDER BY CASE WHEN year > 0 THEN year ELSE 9999 END, hash * 10 + priority) AS rn FROM d),
 f AS (SELECT *, max(CASE WHEN NOT variant THEN 1 ELSE 0 END) OVER w AS has_own, max(CASE WHEN NOT variant THEN year ELSE 0 END) OVER w AS own_year, max(CASE WHEN variant THEN year ELSE 0 END) OVER w AS variant_year FROM m WINDOW w AS (PARTITION BY album, publisher))

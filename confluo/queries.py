@@ -187,6 +187,16 @@ def overlap_semi(spark, sf_dir):
     return joins.overlap_semi(docs, "ws", items, "bs").select("doc_id").distinct()
 
 
+@query(sql="""WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS t FROM benchmark)
+SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS t FROM documents) JOIN w USING (t) WHERE length(t) > 8""")
+def overlap_semi_whole(spark, sf_dir):
+    """overlap_semi over all documents and all items."""
+    long_words = F.filter(F.split("text", " "), lambda w: F.length(w) > 8)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", long_words.alias("ws"))
+    items = _table(spark, sf_dir, "benchmark").select(long_words.alias("bs"))
+    return joins.overlap_semi(docs, "ws", items, "bs").select("doc_id").distinct()
+
+
 @query(sql="SELECT a.o_orderkey AS a_key, b.o_orderkey AS b_key FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND abs(year(a.o_orderdate) - year(b.o_orderdate)) <= 1 AND a.o_orderkey < b.o_orderkey")
 def year_tolerance_join(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders")
