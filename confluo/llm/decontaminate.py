@@ -252,7 +252,8 @@ def decontaminate(
     max_coverage: float = 0.5,
 ) -> DataFrame:
     """``docs`` without benchmark passages: spans of over ``max_words`` hit words are cut out of the texts, and documents
-    of which over ``max_coverage`` of the words are hit are removed.  Clean documents are returned as they are."""
+    of which over ``max_coverage`` of the words are hit are removed.  Spans shorter than a window are whole short items and are
+    cut out whatever ``max_words`` is.  Clean documents are returned as they are."""
     spark, columns = docs.sparkSession, docs.columns
     ship(spark)
     groups = read_items(benchmark, window=window)
@@ -274,7 +275,7 @@ def decontaminate(
                 words = words_of(text or b"")
                 spans = found[i] if several else _merged(automaton.match(words)[0])
                 kept.append(sum(b - a for a, b in spans) <= max_coverage * len(words))
-                long = [s for s in spans if s[1] - s[0] > max_words]
+                long = [s for s in spans if s[1] - s[0] > max_words or s[1] - s[0] < window]
                 if long and kept[-1]:
                     texts[i] = _without(text, long)
             cut = pa.array([None if t is None else t.decode() for t in texts], arrow.field(text_at).type)
