@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from confluo.llm.decontaminate import decontaminate
 from confluo.llm.mixing import mix
+from confluo.llm.nearcopies import drop_near_copies
 from confluo.llm.simhash import keep_one_per_group
 from confluo.llm.tokens import read_token_files, tokenizer_path, write_token_files
 from confluo.llm.toxicity import drop_toxic
@@ -24,8 +25,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return keep_one_per_group(docs)
+    """Of each SimHash group the document with the smallest id stays; of what is left, near copies by five-word Jaccard go too."""
+    return drop_near_copies(store(keep_one_per_group(docs), "unlinked"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
