@@ -397,6 +397,17 @@ def fingerprint_band_match(spark, sf_dir):
     return a.join(b, ["label", "block"]).filter((F.col("a_id") < F.col("b_id")) & near).select("a_id", "b_id")
 
 
+@query(sql=f"""WITH e AS {_BITS} SELECT a.vec_id AS a_id, b.vec_id AS b_id FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id
+WHERE (SELECT sum(abs(a.bits[i] - b.bits[i])) FROM range(1, 65) t(i)) <= 22""")
+def fingerprint_match_whole(spark, sf_dir):
+    """fingerprint_band_match without blocks: at 22 of 64 bits no cheaper key loses no pair, so all pairs of a label are compared."""
+    signs = _signs(spark, sf_dir)
+    a = signs.select("label", F.col("vec_id").alias("a_id"), F.col("words").alias("wa"))
+    b = signs.select("label", F.col("vec_id").alias("b_id"), F.col("words").alias("wb"))
+    near = hamming_similarity(F.col("wa"), F.col("wb"), 64) >= 1 - 22 / 64
+    return a.join(b, ["label"]).filter((F.col("a_id") < F.col("b_id")) & near).select("a_id", "b_id")
+
+
 _LINES = """(SELECT DISTINCT doc_id, md5(l) AS k FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE length(l) > 40)"""
 
 

@@ -30,3 +30,11 @@ def test_fusion_of_all_priorities(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, records.collect()))
     merged = registry.queries()["merge_colliding_whole"](spark, DATA)
     assert {r["short_key"] for r in merged.collect()} == {r["hash"] % 50 for r in records.collect()}
+
+
+def test_fingerprints_of_all_blocks(spark):
+    rows = [(r["vec_id"], r["label"], [x > 0 for x in r["embedding"]]) for r in read(spark, "embeddings").collect()]
+    expected = {(a, b) for a, la, x in rows for b, lb, y in rows if a < b and la == lb and sum(p != q for p, q in zip(x, y)) <= 22}
+    got = [tuple(r) for r in registry.queries()["fingerprint_match_whole"](spark, DATA).collect()]
+    assert len(got) == len(expected) and set(got) == expected
+    assert len(got) > registry.queries()["fingerprint_band_match"](spark, DATA).count()
