@@ -23,8 +23,8 @@ from .textio import add_columns, give_back
 SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 BANDS, ROWS = 20, 5
-#: Once all pairs of the buckets left are at most so many times their members, they are compared at once.
-PAIRS_PER_MEMBER = 8
+#: Once all pairs in the buckets left are at most so many times the band keys of all documents, they are compared at once.
+PAIRS_PER_KEY = 1
 _rng = np.random.default_rng(20)
 _FLIP, _ODD = (_rng.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64) for _ in range(2))
 _ODD |= np.uint64(1)
@@ -102,13 +102,13 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     every = store(keys.select("id", F.explode("keys").alias("key")).distinct(), "bands")
     members = store(_crowded(every).select("key", "id"), "members")
     texts = store(plain.join(members.select("id").distinct(), "id", "left_semi"), "texts")
-    found = []
+    most, found = PAIRS_PER_KEY * every.count(), []
     while True:
         ranked = store(_crowded(members), "ranked")
         rows, pairs = ranked.agg(F.count("*"), F.sum(F.col("n") - 1) / 2).first()
         if not rows:
             break
-        if last := pairs <= PAIRS_PER_MEMBER * rows:
+        if last := pairs <= most:
             a, b = ranked.alias("a"), ranked.alias("b")
             met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("low"), F.col("b.id").alias("id"))
         else:

@@ -37,9 +37,9 @@ def edited() -> dict[int, str]:
     return made | {300: "", 301: " \n", 302: "", 303: "three short words", 304: "Three short  words", 305: "three short lines"}
 
 
-@pytest.mark.parametrize("pairs_per_member", [nearcopies.PAIRS_PER_MEMBER, 0])
-def test_links_against_brute_force(spark, edited, monkeypatch, pairs_per_member):
-    monkeypatch.setattr(nearcopies, "PAIRS_PER_MEMBER", pairs_per_member)  # all pairs at once, or round by round
+@pytest.mark.parametrize("pairs_per_key", [nearcopies.PAIRS_PER_KEY, 0])
+def test_links_against_brute_force(spark, edited, monkeypatch, pairs_per_key):
+    monkeypatch.setattr(nearcopies, "PAIRS_PER_KEY", pairs_per_key)  # all pairs at once, or round by round
     table = spark.createDataFrame([*edited.items(), (None, edited[0]), (400, None)], "doc_id long, text string")
     expected = {(a, b) for a, b in combinations(sorted(edited), 2) if brute_jaccard(edited[a], edited[b]) >= 0.8}
     got = {tuple(r) for r in nearcopies.near_copies(table).collect()}
