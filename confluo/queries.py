@@ -477,13 +477,31 @@ def blocking_tags(spark, sf_dir):
     return tags.filter("tag not like '%-h-%'").groupBy("tag").agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def _text_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, component) of every document with an id: documents are joined that share their whole text or a line of over 40 characters.
+
+    Shorter lines (headings, braces, blanks) make no link, as unrelated documents share them.  Empty texts are equal to each
+    other; a null text equals no other.
+    """
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("l")).filter("length(l) > 40")
+    whole = docs.filter("text is not null").select("doc_id", F.col("text").alias("l"))
+    keys = lines.union(whole).select("doc_id", F.md5(F.col("l").cast("binary")).alias("k"))
+    found = graph.shared_key_components(keys, "doc_id", "k")
+    ids = docs.select("doc_id").filter("doc_id is not null").distinct()
+    return ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
+
+
+@query()
+def components_whole(spark, sf_dir):
+    """components with a row for each document, also for those without a long line."""
+    return _text_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def duplicate_clusters(spark, sf_dir):
     """Exact and near duplicates of documents with the best document of each cluster."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text")
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("l")).filter("length(l) > 40")
-    keys = lines.select("doc_id", F.md5(F.col("l").cast("binary")).alias("k"))
-    found = graph.shared_key_components(keys, "doc_id", "k")
+    found = _text_components(docs.select("doc_id", "text"))
     members = docs.select("doc_id", "lang", "n_chars").join(found, "doc_id", "left").withColumn("cluster", F.coalesce("component", "doc_id"))
     size = members.groupBy("cluster").agg(F.count("*").alias("n_members"), F.min(F.struct((-F.col("n_chars")).alias("c"), "doc_id", "lang")).alias("best"))
     return size.select("cluster", "n_members", F.col("best.doc_id").alias("best_doc_id"), F.col("best.lang").alias("best_lang"))

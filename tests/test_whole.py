@@ -38,3 +38,14 @@ def test_fingerprints_of_all_blocks(spark):
     got = [tuple(r) for r in registry.queries()["fingerprint_match_whole"](spark, DATA).collect()]
     assert len(got) == len(expected) and set(got) == expected
     assert len(got) > registry.queries()["fingerprint_band_match"](spark, DATA).count()
+
+
+def test_clusters_of_short_lines(spark, tmp_path):
+    long = "a line that is long enough to make a link of its own"
+    texts = ["roses are red\nviolets blue", "roses are red\nviolets blue", "roses are red\nviolets green", f"x\n{long}", f"{long}\ny", "", "", None, None]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = dict(map(tuple, registry.queries()["components_whole"](spark, str(tmp_path)).collect()))
+    assert got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 3, 5: 5, 6: 5, 7: 7, 8: 8}
+    clusters = registry.queries()["duplicate_clusters"](spark, str(tmp_path)).collect()
+    assert {r["cluster"]: r["n_members"] for r in clusters} == {0: 2, 2: 1, 3: 2, 5: 2, 7: 1, 8: 1}
