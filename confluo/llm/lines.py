@@ -1,59 +1,95 @@
 """Line dedup by an exact set-similarity join.
 
-A line is the set of its words (A-Z lower-cased, cut at white space).  Lines with equal sets are one class, stood for
-by the first.  Words are ordered by rarity: occurrences over the whole corpus in 2**20 hash buckets (a table of fixed
-size), then the hash; any one order makes the join exact, rarity makes it small.  Two sets with Jaccard similarity of
-at least t share a word among their first n - ceil(t n) + 1 words, so only those prefixes meet; pairs must then pass the
-length filter, the positional filter and a bound by 64 parities of words, and the survivors' sets are fetched from the
-texts and compared exactly.  Of each class only the earliest and the latest earlier candidate are compared; only where both
-fail are all the others, so groups of many similar lines give no pairs of all with all.
+A line is the set of its words (A-Z lower-cased, cut at white space).  Words are ordered by rarity: occurrences over the
+whole corpus in 2**20 hash buckets (a table of fixed size), then the hash; any one order makes the join exact, rarity makes
+it small.  Two sets with Jaccard similarity of at least t share a word among their first n - ceil(t n) + 1 words, so only
+those prefixes meet.  If the first word that two sets share is a frequent one, all that they share are, and so is the second:
+a frequent word of a prefix is keyed by pairs with the words after it, so groups of one word stay small however large the
+corpus is.
+
+Prefixes travel as packed blocks of columns (key, place, size, position, 64 parities of words), dealt by key; a task meets
+groups of one key.  Pairs must pass the length filter, the positional filter and a bound by the parities.  A line asks first
+the earliest few lines of its group; at the first that passes it stops, so groups of many similar lines cost their size, not
+its square.  All pairs are compared word by word on the lines themselves.  Lines that stopped at candidates which all fail
+then meet the rest of those groups.
 A line is removed if an earlier line (by document id, then place) of the corpus is equal or similar to it.
 """
 
 from __future__ import annotations
 
+import secrets
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.shipping import ship
-from ..plans.storage import store
+from ..plans.storage import discard, store
+from .textio import give_back
 
 THRESHOLD = 0.8
-#: Hash buckets of word counts (fixed), and classes that a task remembers to have given.
-BUCKETS, KEPT = 1 << 20, 300_000
-#: Candidate documents up to which their ids are broadcast to the texts; beyond, they are joined by a shuffle.
-BROADCAST_DOCS = 200_000
-
+#: Hash buckets of word counts (fixed), and parts of that table that are added up apart.
+BUCKETS, SLICES = 1 << 20, 64
+#: A word is frequent if its bucket holds more occurrences than this.
+FREQUENT = 4096
+#: Prefix words of a block before it is dealt out, and of one part on average.
+BLOCK_WORDS, PART_WORDS = 1_000_000, 400_000
+#: Earliest lines of a group that a line asks one by one.
+ASKED = 8
+#: Bytes of a table up to which it is broadcast; beyond, it is joined by a shuffle.
+BROADCAST_BYTES = 16 << 20
+#: Bytes of text handled at a time; a longer text is handled alone.
+TEXT_BYTES = 4 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _NEWLINE = 10
-_BASE = 0x9E3779B97F4A7C15 | 1
-_MIX = np.uint64(0xD6E8FEB86659FD93)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-_POWERS: dict[str, np.ndarray] = {}
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+#: Where a null id stands in the order of ids; the least long stands there too.
+_FIRST = -(1 << 63)
+
+
+def _mixed(x: np.ndarray, odd: np.uint64) -> np.ndarray:
+    """A one-to-one scrambling of 64-bit numbers."""
+    x = x ^ (x >> np.uint64(32))
+    x *= odd
+    x ^= x >> np.uint64(29)
+    x *= _ODD[2]
+    return x ^ (x >> np.uint64(32))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, 1 << 20)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            row = np.full(size, base, np.uint64)
-            row[0] = 1
-            _POWERS[name] = np.cumprod(row)
-    return _POWERS["up"], _POWERS["down"]
+def word_hashes(data: bytes, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """64-bit hashes of stretches of ``data``, which 16 bytes follow that belong to none.
+
+    Words of up to 8 bytes and one length never collide; up to 64 bytes are folded 8 at a time, longer words go to XXH3.
+    """
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    lengths = ends - starts
+    masks = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+    key = np.uint64(seed)
+    out = _mixed((eight[starts] & masks[np.minimum(lengths, 8)]) ^ key, _ODD[0]) + lengths.astype(np.uint64) * _ODD[1]
+    for at in range(8, 64, 8):
+        more = np.flatnonzero((lengths > at) & (lengths <= 64))
+        if not len(more):
+            break
+        piece = eight[starts[more] + at] & masks[np.minimum(lengths[more] - at, 8)]
+        out[more] = _mixed(out[more] ^ _mixed(piece ^ key, _ODD[3]), _ODD[0])
+    for i in np.flatnonzero(lengths > 64).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]], seed)
+    return out
 
 
 class _Lines:
     """The lines with words of some texts: text and line number, and the 64-bit hashes of their words."""
 
-    def __init__(self, texts: list[bytes]):
-        data = b"\n".join(texts).lower()  # of bytes: A-Z only
-        block = np.frombuffer(data, np.uint8)
+    def __init__(self, texts: list[bytes], seed: int):
+        data = b"\n".join([*texts, bytes(16)]).lower()  # of bytes: A-Z only
+        block = np.frombuffer(data, np.uint8, max(len(data) - 17, 0))
         blank = _SPACE[block]
         edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
         starts, ends = edges[::2], edges[1::2]
@@ -66,20 +102,14 @@ class _Lines:
         lines = line[first]
         self.text = np.searchsorted(begins, starts[first], side="right") - 1
         self.number = lines - np.where(begins > 0, before[np.maximum(begins, 1) - 1], 0)[self.text] if len(first) else lines
-        up, down = _powers(len(block) + 1)
-        sums = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum((block.astype(np.uint64) + np.uint64(1)) * up[: len(block)], out=sums[1:])
-        hashes = (sums[ends] - sums[starts]) * down[starts]
-        hashes ^= hashes >> np.uint64(32)
-        hashes *= _MIX
-        self.hashes = hashes ^ (hashes >> np.uint64(29))
+        self.hashes = word_hashes(data, starts, ends, seed)
 
     def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(lines, word hashes in order, which are the first of their kind), for lines of like length at a time."""
         widths = 1 << np.ceil(np.log2(np.maximum(self.counts, 1))).astype(np.int64)
         for width in np.unique(widths).tolist():
             every = np.flatnonzero(widths == width)
-            step = max(1, (1 << 21) // width)
+            step = max(1, (1 << 20) // width)
             for at in range(0, len(every), step):
                 mine = every[at : at + step]
                 places = np.arange(width)
@@ -92,57 +122,90 @@ class _Lines:
 
 
 def _keys(words: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(k1, k2, size) of sets: a sum of hashes, and 64 parities of words by the top bits of their hashes.
+    """(k1, k2, size) of sets: two sums of word hashes, scrambled apart."""
+    zero = np.uint64(0)
+    k1 = np.where(distinct, words, zero).sum(1, dtype=np.uint64)
+    k2 = np.where(distinct, _mixed(words, _ODD[1]), zero).sum(1, dtype=np.uint64)
+    return k1.view(np.int64), k2.view(np.int64), distinct.sum(1)
 
-    The parities are half the key of a set, and tell at least how many words two sets differ in.
-    """
-    k1 = np.where(distinct, words, np.uint64(0)).sum(1, dtype=np.uint64)
-    bits = np.where(distinct, np.uint64(1) << (words >> np.uint64(58)), np.uint64(0))
-    return k1.view(np.int64), np.bitwise_xor.reduce(bits, axis=1).view(np.int64), distinct.sum(1)
 
+def _slices(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows with their texts, some megabytes of text at a time."""
+    for whole in batches:
+        texts = [t or b"" for t in whole.column(text_at).cast(pa.binary()).to_pylist()]
+        start = size = 0
+        for i, text in enumerate(texts):
+            if i > start and size + len(text) > TEXT_BYTES:
+                yield whole.slice(start, i - start), texts[start:i]
+                start, size = i, 0
+            size += len(text)
+        if len(texts) > start:
+            yield whole.slice(start), texts[start:]
+
+
+_SCAN = "kind int, doc long, hash long, line int, k1 long, k2 long, counts binary"
+_ZSTD = pa.Codec("zstd")
 
-_LINE_FIELDS = "kind int, doc long, hash long, line int, size int, k1 long, k2 long"
-_TEXTS_AT_ONCE = 500
 
+def _scan(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+    """Rows of kind 0: lines with words; 1: one per document, with the number of its lines; 2: word counts of the task.
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of kind 0: lines with words; 1: one per document; 2: bucket (k1) and lines with its words (k2) in this task."""
+    Counts are those of the buckets of one slice (line), packed and compressed; k1 is the bytes of one count.
+    """
     counts = np.zeros(BUCKETS, np.int64)
-    held: list[np.ndarray] = []
-    waiting = 0
-    names = ["kind", "doc", "hash", "line", "size", "k1", "k2"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
+    def rows(kind: int, *columns) -> pa.RecordBatch:
+        columns = [np.full(len(columns[0]), kind, np.int32), *columns]
+        if len(columns) < len(types):
+            columns.append(pa.nulls(len(columns[0]), pa.binary()))
+        done = [c if isinstance(c, pa.Array) else pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types, strict=True)]
+        return pa.RecordBatch.from_arrays(done, names=["kind", "doc", "hash", "line", "k1", "k2", "counts"])
+
+    for batch, texts in _slices(batches, 2):
+        docs, hashed = batch.column(0), batch.column(1)
+        found = _Lines(texts, seed)
+        zeros = np.zeros(len(texts), np.int64)
+        yield rows(1, docs, hashed, np.bincount(found.text, minlength=len(texts)), zeros, zeros)
+        for mine, words, distinct in found.rows():
+            k1, k2, _ = _keys(words, distinct)
+            counts += np.bincount((words[distinct] & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            taken = pa.array(found.text[mine])
+            yield rows(0, docs.take(taken), hashed.take(taken), found.number[mine], k1, k2)
+    for i, part in enumerate(counts.reshape(SLICES, -1)):
+        if most := int(part.max()):
+            small = part.astype(np.min_scalar_type(most))
+            none = pa.nulls(1, pa.int64())
+            packed = _ZSTD.compress(small.tobytes(), asbytes=True)
+            yield rows(2, none, none, np.array([i]), np.array([small.itemsize]), np.zeros(1), pa.array([packed], pa.binary()))
+    give_back()
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slice, counts) summed over (slice, bytes of one count, packed counts)."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, size, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            n = BUCKETS // SLICES
+            part = np.frombuffer(_ZSTD.decompress(packed, n * size, asbytes=True), f"<u{size}").astype(np.int64)
+            sums[i] = sums[i] + part if i in sums else part
+    yield pa.RecordBatch.from_pydict({"slice": pa.array(list(sums), pa.int32()), "counts": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
 
-    def rows(kind: int, doc, hashed, line, size, k1, k2) -> pa.RecordBatch:
-        n = len(k1)
-        columns = [np.full(n, kind, np.int32), doc, hashed, line, size, k1, k2]
-        types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays(
-            [c if isinstance(c, pa.Array) else pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types, strict=True)], names=names
-        )
 
-    for whole in batches:
-        for start in range(0, whole.num_rows, _TEXTS_AT_ONCE):
-            batch = whole.slice(start, _TEXTS_AT_ONCE)
-            docs, hashed = batch.column(0), batch.column(1)
-            zeros = np.zeros(batch.num_rows, np.int64)
-            yield rows(1, docs, hashed, zeros, zeros, zeros, zeros)
-            found = _Lines([t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()])
-            for mine, words, distinct in found.rows():
-                k1, k2, size = _keys(words, distinct)
-                held.append(words[distinct] & np.uint64(BUCKETS - 1))
-                waiting += len(held[-1])
-                if waiting > 4 * BUCKETS:
-                    counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=BUCKETS)
-                    held, waiting = [], 0
-                taken = pa.array(found.text[mine])
-                yield rows(0, docs.take(taken), hashed.take(taken), found.number[mine], size, k1, k2)
-    if held:
-        counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=BUCKETS)
-    full = np.flatnonzero(counts)
-    for start in range(0, len(full), 50_000):
-        some = full[start : start + 50_000]
-        none = pa.nulls(len(some), pa.int64())
-        yield rows(2, none, none, np.zeros(len(some)), np.zeros(len(some)), some, counts[some])
+class _Order:
+    """The order of words: place of each bucket by its count, and from which place on buckets are met at all or frequent."""
+
+    def __init__(self, parts: list, frequent: int):
+        counts = np.zeros((SLICES, BUCKETS // SLICES), np.int64)
+        for r in parts:
+            counts[r["slice"]] = np.frombuffer(r["counts"], np.int64)
+        counts = counts.reshape(-1)
+        order = np.argsort(counts, kind="stable")
+        self.ranks = np.empty(BUCKETS, np.uint32)
+        self.ranks[order] = np.arange(BUCKETS, dtype=np.uint32)
+        met, often = np.searchsorted(counts[order], [1, frequent], side="right").tolist()
+        self.met, self.frequent = np.uint64(met), np.uint64(often)
+        self.words = int(counts.sum())
 
 
 def prefix_length(sizes: np.ndarray, threshold: float) -> np.ndarray:
@@ -151,205 +214,361 @@ def prefix_length(sizes: np.ndarray, threshold: float) -> np.ndarray:
     return np.where(sizes >= threshold * (sizes + 1) - 1e-9, length, 0)
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], ranks: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
-    """(code, k1, k2, size, place, doc, line) for each word of each line's prefix.
+_COLUMNS = ("code", "doc", "line", "size", "place", "sig", "check")
+_CODE_BITS = np.uint64(48)
+
+
+def pack(rows: dict[str, np.ndarray]) -> bytes:
+    """Columns of a block in as few bytes a number as each needs; codes must rise, and go as differences."""
+    n, low = len(rows["code"]), int(rows["doc"].min())
+    plain = rows | {"code": np.diff(rows["code"], prepend=np.uint64(0)), "doc": rows["doc"].view(np.uint64) - np.int64(low).view(np.uint64)}
+    small = [plain[c].astype(np.min_scalar_type(int(plain[c].max()))) for c in _COLUMNS]
+    return b"".join([struct.pack("<Iq7B", n, low, *(c.itemsize for c in small)), *(c.tobytes() for c in small)])
+
+
+def unpack(data: bytes) -> dict[str, np.ndarray]:
+    n, low, *sizes = struct.unpack_from("<Iq7B", data)
+    at, rows = struct.calcsize("<Iq7B"), {}
+    for name, size in zip(_COLUMNS, sizes, strict=True):
+        rows[name] = np.frombuffer(data, f"<u{size}", n, at).astype(np.uint64)
+        at += n * size
+    rows["code"] = np.cumsum(rows["code"], dtype=np.uint64)
+    rows["doc"] = (rows["doc"] + np.int64(low).view(np.uint64)).view(np.int64)
+    for name in ("line", "size", "place"):
+        rows[name] = rows[name].astype(np.int64)
+    return rows
+
+
+def _prefix_rows(found: _Lines, order: _Order, threshold: float, docs: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
+    """Prefix words of all lines: key, and what the filters need of the line.
 
-    A task gives a class again only for an earlier line of it, while it remembers the class.  A code is the rank of the
-    word's bucket and 32 more bits of its hash: words that share a code count as one word here, which can only add
-    candidates.
+    Words in a bucket without another occurrence meet nothing and are left out.
     """
-    seen: dict[tuple[int, int], tuple] = {}
-    for whole in batches:
-        for start in range(0, whole.num_rows, _TEXTS_AT_ONCE):
-            batch = whole.slice(start, _TEXTS_AT_ONCE)
-            docs = batch.column(0)
-            order = [(d is not None, d or 0) for d in docs.to_pylist()]
-            found = _Lines([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()])
-            if len(seen) > KEPT:
-                seen.clear()
-            for mine, words, distinct in found.rows():
-                k1, k2, size = _keys(words, distinct)
-                fresh = np.zeros(len(k1), bool)
-                places = zip(found.text[mine].tolist(), found.number[mine].tolist(), strict=True)
-                for i, (a, b, (text, line)) in enumerate(zip(k1.tolist(), k2.tolist(), places, strict=True)):
-                    at = (*order[text], line)
-                    if (a, b) not in seen or at < seen[a, b]:
-                        seen[a, b] = at
-                        fresh[i] = True
-                codes = (ranks[(words & np.uint64(BUCKETS - 1)).astype(np.int64)] << np.uint64(32)) | (words >> np.uint64(32))
-                codes = np.sort(np.where(distinct, codes, _NONE), axis=1)
-                taken = np.where(fresh, prefix_length(size, threshold), 0)
-                which, place = np.nonzero(np.arange(codes.shape[1]) < taken[:, None])
-                columns = {
-                    "code": pa.array(codes[which, place].astype(np.int64)),
-                    "k1": pa.array(k1[which]),
-                    "k2": pa.array(k2[which]),
-                    "size": pa.array(size[which].astype(np.int32)),
-                    "place": pa.array(place.astype(np.int32)),
-                    "doc": docs.take(pa.array(found.text[mine][which])),
-                    "line": pa.array(found.number[mine][which].astype(np.int32)),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
+    for mine, words, distinct in found.rows():
+        k1, _, size = _keys(words, distinct)
+        bits = np.where(distinct, np.uint64(1) << (words >> np.uint64(58)), np.uint64(0))
+        parity = np.bitwise_xor.reduce(bits, axis=1)
+        ranked = (order.ranks[(words & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(44)) | (words >> np.uint64(20))
+        ranked = np.sort(np.where(distinct, ranked, _NONE), axis=1)
+        taken = prefix_length(size, threshold)
+        width = int(taken.max(initial=0))
+        if not width:
+            continue
+        rank = ranked[:, :width] >> np.uint64(44)
+        inside = np.arange(width) < taken[:, None]
+        which, place = np.nonzero(inside & (rank >= order.met) & (rank < order.frequent))
+        code = _mixed(ranked[which, place], _ODD[3])
+        often, begin = np.nonzero(inside & (rank >= order.frequent))
+        if len(often):  # pairs of a frequent word at ``begin`` and each word after it, up to one past the prefix
+            many = taken[often] - begin
+            after = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + 1
+            often, begin = np.repeat(often, many), np.repeat(begin, many)
+            pair = _mixed(_mixed(ranked[often, begin], _ODD[1]) + ranked[often, begin + after], _ODD[3])
+            code, which, place = np.append(code, pair), np.append(which, often), np.append(place, begin + after - 1)
+        lines = mine[which]
+        yield {
+            "code": code >> (np.uint64(64) - _CODE_BITS),
+            "doc": docs[found.text[lines]],
+            "line": found.number[lines].astype(np.int64),
+            "size": size[which].astype(np.int64),
+            "place": place.astype(np.int64),
+            "sig": parity[which],
+            "check": k1.view(np.uint64)[which] & np.uint64(0xFFFFFFFF),
+        }
+
+
+def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([p[c] for p in parts]) for c in _COLUMNS} if parts else {}
+
+
+def _in_order(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Rows by key, then place in the corpus; of equal sets of one key only the first."""
+    if not len(rows["code"]):
+        return rows
+    at = np.lexsort((rows["line"], rows["doc"]))
+    at = at[np.argsort(rows["code"][at], kind="stable")]
+    same = _mixed(_mixed(rows["code"], _ODD[0]) ^ rows["sig"], _ODD[1]) + (rows["check"] | (rows["size"].astype(np.uint64) << np.uint64(32))) * _ODD[3]
+    first = np.sort(np.unique(same[at], return_index=True)[1])
+    return {c: rows[c][at[first]] for c in _COLUMNS}
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], order: _Order, parts: int, threshold: float, seed: int) -> Iterator[pa.RecordBatch]:
+    """(part, rows): the prefix words of whole blocks of lines, dealt by key."""
+    held: list[dict[str, np.ndarray]] = []
+    waiting = 0
+
+    def flush() -> pa.RecordBatch:
+        rows = _in_order(_joined(held))
+        part = (rows["code"].astype(np.float64) * (parts / 2.0 ** float(_CODE_BITS))).astype(np.int64)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+        packed = [pack({c: v[a:b] for c, v in rows.items()}) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return pa.RecordBatch.from_pydict({"part": pa.array(part[cuts[:-1]], pa.int64()), "rows": pa.array(packed, pa.binary())})
+
+    for batch, texts in _slices(batches, 1):
+        docs = batch.column(0).fill_null(_FIRST).to_numpy(zero_copy_only=False)
+        for rows in _prefix_rows(_Lines(texts, seed), order, threshold, docs):
+            if len(rows["code"]):
+                held.append(rows)
+                waiting += len(rows["code"])
+            if waiting > BLOCK_WORDS:
+                yield flush()
+                held.clear()
+                waiting = 0
+    if waiting:
+        yield flush()
+    held.clear()
+    give_back()
+
+
+class _Groups:
+    """Groups of one key, in the order of :func:`_in_order`, and the filters on pairs of rows."""
+
+    def __init__(self, rows: dict[str, np.ndarray], threshold: float):
+        code = rows["code"]
+        starts = np.flatnonzero(np.diff(code, prepend=code[:1] ^ np.uint64(1)))
+        lengths = np.diff(np.append(starts, len(code)))
+        keep = np.repeat(lengths > 1, lengths)
+        self.rows = {c: v[keep] for c, v in rows.items()}
+        lengths = lengths[lengths > 1]
+        self.start = np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.index = np.arange(len(self.start)) - self.start
+        self.threshold = threshold
+
+    def pass_filters(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs (row, earlier row) may be similar: length, position, parities."""
+        r, t = self.rows, self.threshold
+        na, nb = r["size"][a], r["size"][b]
+        need = np.ceil((na + nb) * (t / (1 + t)) - 1e-9).astype(np.int64)
+        fits = (np.minimum(na, nb) >= np.maximum(na, nb) * t - 1e-9) & (na - r["place"][a] >= need) & (nb - r["place"][b] >= need)
+        near = np.flatnonzero(fits)
+        x, y = a[near], b[near]
+        near = near[np.bitwise_count(r["sig"][x] ^ r["sig"][y]) <= (na + nb - 2 * need)[near]]
+        before = (r["doc"][a[near]] != r["doc"][b[near]]) | (r["line"][a[near]] != r["line"][b[near]])  # rows of one place don't count
+        return near[before]
+
+    def every(self, askers: np.ndarray, first: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of each asker with the lines of its group from the ``first``-th up to itself that pass."""
+        many = np.maximum(self.index[askers] - first, 0)
+        for at in _runs(many, 1 << 20):
+            n = many[at]
+            a = np.repeat(askers[at], n)
+            b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.start[askers[at]] + first, n)
+            kept = self.pass_filters(a, b)
+            yield a[kept], b[kept]
+
+
+def _runs(many: np.ndarray, most: int) -> Iterator[slice]:
+    """Slices of ``many`` with a sum of some ``most`` each; a larger number is alone."""
+    ends = np.cumsum(many)
+    at = 0
+    while at < len(many):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield slice(at, to)
+        at = to
+
+
+_PAIRS = "part long, doc long, line int, other_doc long, other_line int, open boolean, rows binary"
+
+
+def _batch(part: int, rows: dict[str, np.ndarray], a: np.ndarray, b: np.ndarray, open_: np.ndarray) -> pa.RecordBatch:
+    n = len(a)
+    columns = [
+        pa.array(np.full(n, part)), pa.array(rows["doc"][a]), pa.array(rows["line"][a].astype(np.int32)),
+        pa.array(rows["doc"][b]), pa.array(rows["line"][b].astype(np.int32)), pa.array(open_), pa.nulls(n, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _PAIRS.split(", ")])
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
+    """Rows of one part after the other; the parts come in order."""
+    now, held = None, []
+    for batch in batches:
+        parts = batch.column(0).to_pylist()
+        for row in zip(parts, *(c.to_pylist() for c in batch.columns[1:]), strict=True):
+            if row[0] != now and held:
+                yield now, held
+                held = []
+            now = row[0]
+            held.append(row[1:])
+    if held:
+        yield now, held
+
+
+def _meet(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of each part; open ones have more candidates than given, and the rows of their groups follow."""
+    for part, held in _by_part(batches):
+        rows = _joined([unpack(blob) for (blob,) in held])
+        held.clear()
+        groups = _Groups(_in_order(rows), threshold)
+        alive = np.arange(len(groups.index))
+        crowded: list[np.ndarray] = []
+        for rank in range(ASKED):
+            alive = alive[groups.index[alive] > rank]
+            if not len(alive):
+                break
+            hit = groups.pass_filters(alive, groups.start[alive] + rank)
+            asker = alive[hit]
+            more = groups.index[asker] > rank + 1
+            crowded.append(np.unique(groups.start[asker[more]]))
+            yield _batch(part, groups.rows, asker, groups.start[asker] + rank, more)
+            alive = np.delete(alive, hit)
+        for a, b in groups.every(alive, ASKED):
+            yield _batch(part, groups.rows, a, b, np.zeros(len(a), bool))
+        crowd = np.unique(np.concatenate(crowded)) if crowded else np.zeros(0, np.int64)
+        if len(crowd):
+            inside = np.flatnonzero(np.isin(groups.start, crowd))
+            cuts = np.flatnonzero(groups.index[inside] == 0)
+            for at in _runs(np.diff(np.append(cuts, len(inside))), 50_000):
+                some = inside[cuts[at][0] : cuts[at.stop] if at.stop < len(cuts) else len(inside)]
+                blob = pack({c: v[some] for c, v in groups.rows.items()})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part]), *(pa.nulls(1, t) for t in (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_())), pa.array([blob], pa.binary())],
+                    names=[c.split()[0] for c in _PAIRS.split(", ")],
+                )
+    give_back()
+
+
+def _place_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return _mixed(doc.view(np.uint64) + line.astype(np.uint64) * _ODD[0], _ODD[1])
+
+
+def _meet_rest(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """All candidate pairs of the lines (doc, line) of each part in its rows, which come after them."""
+    for part, held in _by_part(batches):
+        asking = [(doc, line) for doc, line, blob in held if blob is None]
+        wanted = _place_key(*(np.array(c, np.int64) for c in zip(*asking, strict=True))) if asking else np.zeros(0, np.uint64)
+        for _, _, blob in held:
+            if blob is not None and len(wanted):
+                groups = _Groups(unpack(blob), threshold)
+                askers = np.flatnonzero(np.isin(_place_key(groups.rows["doc"], groups.rows["line"]), wanted))
+                for a, b in groups.every(askers, 0):
+                    yield _batch(part, groups.rows, a, b, np.zeros(len(a), bool))
+    give_back()
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, line, k1, k2, words) of the wanted lines of each text: the hashes of the distinct words."""
+    """(doc, line, body) of the wanted lines of each text."""
     for batch in batches:
-        docs = batch.column(0)
-        at, numbers, wanted, k1, k2, sets = [], [], [], [], [], []
-        for i, (text, lines) in enumerate(zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+        docs, numbers, bodies = [], [], []
+        for doc, text, lines in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
             split = (text or b"").split(b"\n")
-            wanted += [split[n] if n < len(split) else b"" for n in lines]
-            at += [i] * len(lines)
+            lines = [n for n in lines if n < len(split)]
+            docs += [doc] * len(lines)
             numbers += lines
-        found = _Lines(wanted)  # a line is a text here
-        kept: list[np.ndarray] = []
-        for mine, words, distinct in found.rows():
-            a, b, size = _keys(words, distinct)
-            kept.append(found.text[mine])
-            k1.append(a)
-            k2.append(b)
-            sets.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(size)]).astype(np.int32), pa.array(words[distinct].view(np.int64))))
-        order = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                docs.take(pa.array(np.array(at, np.int64)[order])),
-                pa.array(np.array(numbers, np.int32)[order]),
-                pa.array(np.concatenate([np.zeros(0, np.int64), *k1])),
-                pa.array(np.concatenate([np.zeros(0, np.int64), *k2])),
-                pa.concat_arrays([pa.array([], pa.list_(pa.int64())), *sets]),
-            ],
-            names=["doc", "line", "k1", "k2", "words"],
-        )
-
-
-def _ranks(counts: DataFrame) -> np.ndarray:
-    """Place of each bucket in order of its count; the table of 2**20 counts is all that is gathered."""
-    table = counts.groupBy("k1").agg(F.sum("k2").alias("n")).toArrow()
-    by_bucket = np.zeros(BUCKETS, np.int64)
-    by_bucket[table.column("k1").to_numpy()] = table.column("n").to_numpy()
-    ranks = np.empty(BUCKETS, np.uint64)
-    ranks[np.argsort(by_bucket, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
-    return ranks
-
-
-def line_flags(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(lines, documents): lines with words as (doc, hash, line, removed), and one row (doc, hash) per row of ``docs``.
+            bodies += [split[n] for n in lines]
+        yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(numbers, pa.int32()), pa.array(bodies, pa.binary())], names=["doc", "line", "body"])
+
+
+def _similar(batches: Iterator[pa.RecordBatch], threshold: float, seed: int) -> Iterator[pa.RecordBatch]:
+    """(doc, line, k1, k2) of the lines that are similar to the other line beside them, word by word."""
+    for batch in batches:
+        kept = []
+        mine, others = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        for i, (x, y) in enumerate(zip(mine, others, strict=True)):
+            a, b = set(x.lower().split()), set(y.lower().split())
+            shared = len(a & b)
+            if shared >= threshold * (len(a) + len(b) - shared) - 1e-9 and shared:
+                kept.append(i)
+        found = _Lines([mine[i] for i in kept], seed)  # a line is a text here
+        for at, words, distinct in found.rows():
+            k1, k2, _ = _keys(words, distinct)
+            rows = pa.array(np.array(kept, np.int64)[found.text[at]])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(k1), pa.array(k2)], names=["doc", "line", "k1", "k2"])
+
+
+def _if_small(table: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+
+
+def line_flags(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, frequent: int = FREQUENT
+) -> tuple[DataFrame, DataFrame]:
+    """(removed, documents): the lines to remove as (doc, hash, line), and one row (doc, hash, n_lines) per row of ``docs``.
 
     hash is the XXH64 of the text and tells rows of one id apart; lines at one place of rows that share an id don't remove
-    each other, so rows that repeat id and text are treated alike.  Rows with a null id come first.  Null and empty texts
-    and blank lines have no lines.
+    each other, so rows that repeat id and text are treated alike.  Rows with a null id (or the least long) come first.
+    Null and empty texts and blank lines have no lines; an empty table gives empty tables.  Equal sets of words are told by
+    128 bits of hashes under a seed of the run's own, similar ones are compared word by word.
     """
     spark = docs.sparkSession
     ship(spark)
+    seed = secrets.randbits(63)
     body = F.col(f"`{text_col}`").cast("string")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(body).alias("hash"), body.alias("body"))
-    scanned = store(texts.mapInArrow(_scan, _LINE_FIELDS), "lines")
-    ranks = spark.sparkContext.broadcast(_ranks(scanned.filter("kind = 2").select("k1", "k2")))
-    lines = scanned.filter("kind = 0")
-    spans = lines.agg(F.max(F.abs("doc")).alias("doc"), F.max("line").alias("line")).first()
-    small = (spans["doc"] or 0) < 1 << 41 and (spans["line"] or 0) < 1 << 20
+    scanned = store(texts.mapInArrow(lambda batches: _scan(batches, seed), _SCAN), "lines")
+    lines, slices = scanned.filter("kind = 0"), scanned.filter("kind = 2").select(F.col("line").alias("slice"), "k1", "counts")
+    order = _Order(slices.repartition("slice").mapInArrow(_added, "slice int, counts binary").collect(), frequent)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), order.words // (4 * PART_WORDS))
+    known = spark.sparkContext.broadcast(order)
+    placed = F.coalesce("doc", F.lit(_FIRST)).alias("doc")
+    blocks = texts.select("doc", "body").mapInArrow(lambda batches: _prefixes(batches, known.value, parts, threshold, seed), "part long, rows binary")
+    blocks = blocks.repartition("part").sortWithinPartitions("part")
+    met = store(blocks.mapInArrow(lambda batches: _meet(batches, threshold), _PAIRS), "met")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """(doc, line, k1, k2) of the lines of ``pairs``, a stored table, for which some other line is similar."""
+        ends = pairs.select("doc", "line").union(pairs.select("other_doc", "other_line"))
+        wanted = store(ends.groupBy(F.col("doc").alias("of_doc")).agg(F.collect_set("line").alias("wanted")), "wanted")
+        size = wanted.agg(F.sum(32 + 4 * F.size("wanted"))).first()[0] or 0
+        found = texts.select(placed, "body").join(_if_small(wanted, size), F.col("doc") == F.col("of_doc")).select("doc", "body", "wanted")
+        found = store(found.mapInArrow(_fetch, "doc long, line int, body binary").distinct(), "bodies")
+        both = pairs.join(found.withColumnRenamed("body", "x"), ["doc", "line"]).join(found.toDF("other_doc", "other_line", "y"), ["other_doc", "other_line"])
+        alike = both.select("doc", "line", "x", "y").mapInArrow(lambda batches: _similar(batches, threshold, seed), "doc long, line int, k1 long, k2 long")
+        done = store(alike.distinct(), "similar")
+        discard(wanted, found)
+        return done
+
+    ends = ["doc", "line", "other_doc", "other_line"]
+    pairs = store(met.filter("rows is null").select(*ends).distinct(), "pairs")
+    similar = verified(pairs)
+    # lines that stopped at candidates which all fail: the rest of those groups
+    stopped = met.filter("open").select("part", "doc", "line").distinct().join(similar.select("doc", "line"), ["doc", "line"], "left_anti")
+    stopped = store(stopped.select("part", "doc", "line", F.lit(None).cast("binary").alias("rows")), "stopped")
+    if not stopped.isEmpty():
+        asked = stopped.union(met.filter("rows is not null").join(stopped.select("part").distinct(), "part", "left_semi").select(*stopped.columns))
+        asked = asked.repartition("part").sortWithinPartitions("part", F.col("rows").isNotNull())
+        rest = asked.select("part", "doc", "line", "rows").mapInArrow(lambda batches: _meet_rest(batches, threshold), _PAIRS)
+        rest = store(rest.select(*ends).distinct().join(pairs, ends, "left_anti"), "rest")
+        similar = store(similar.union(verified(rest)).distinct(), "similar")
+        discard(rest)
+    discard(met, pairs, stopped)
+
+    least, most, longest = (x or 0 for x in lines.agg(F.min("doc"), F.max("doc"), F.max("line")).first())
+    small = least > -(1 << 41) and most < 1 << 41 and longest < 1 << 20
 
     def place_of(doc: Column, line: Column) -> Column:
         """A line's place in the corpus, null ids first: one number where ids and lines are small, else a pair."""
         if small:
-            return F.coalesce(doc, F.lit(-(1 << 41))) * F.lit(1 << 20) + line
-        return F.struct(doc.alias("doc"), line.alias("line"))
+            return F.greatest(F.coalesce(doc, F.lit(_FIRST)), F.lit(-(1 << 41))) * F.lit(1 << 20) + line
+        return F.struct(F.coalesce(doc, F.lit(_FIRST)).alias("doc"), line.alias("line"))
 
-    prefixes = texts.select("doc", "body").mapInArrow(
-        lambda batches: _prefixes(batches, ranks.value, threshold),
-        "code long, k1 long, k2 long, size int, place int, doc long, line int",
-    )
-    placed = prefixes.select(
-        "code", "k1", "k2", (F.col("size").cast("long") * (1 << 31) + F.col("place")).alias("sp"), place_of(F.col("doc"), F.col("line")).alias("at")
-    )
+    at = place_of(F.col("doc"), F.col("line"))
+    classes = lines.groupBy("k1", "k2").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    ends_of = similar.select(F.col("k1").alias("s1"), F.col("k2").alias("s2"), at.alias("held"))
+    ends_of = _if_small(ends_of, 32 * ends_of.count())
+    limits = classes.join(ends_of, (F.col("k1") == F.col("s1")) & (F.col("k2") == F.col("s2")) & (F.col("first") == F.col("held")), "left")
+    limits = store(limits.filter(F.col("held").isNotNull() | (F.col("first") < F.col("last"))).select("k1", "k2", "first", F.col("held").isNotNull().alias("held")), "limits")
+    removed = lines.join(_if_small(limits, 40 * limits.count()), ["k1", "k2"]).filter(F.col("held") | (at > F.col("first"))).select("doc", "hash", "line")
+    return removed, scanned.filter("kind = 1").select("doc", "hash", F.col("line").cast("long").alias("n_lines"))
 
-    def by_code(rows: DataFrame) -> DataFrame:
-        return rows.repartition("code").groupBy("code", "k1", "k2", "sp").agg(F.min("at").alias("at"))
-
-    met = by_code(placed)
-    t = F.lit(threshold)
-
-    def candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
-        """(k1, k2, at, other): pairs of a class and a class that began earlier, which pass all filters."""
-        a, b = later.alias("a"), earlier.alias("b")
-        size_a, size_b = (F.shiftright(F.col(f"{s}.sp"), 31) for s in "ab")
-        left_a, left_b = (F.shiftright(F.col(f"{s}.sp"), 31) - F.col(f"{s}.sp").bitwiseAND((1 << 31) - 1) for s in "ab")
-        needed = F.ceil((size_a + size_b) * t / (1 + t) - 1e-9)
-        return a.join(
-            b,
-            (F.col("a.code") == F.col("b.code"))
-            & (F.col("b.at") < F.col("a.at"))
-            & (F.least(size_a, size_b) >= F.greatest(size_a, size_b) * t - 1e-9)
-            & (F.least(left_a, left_b) >= needed)
-            & (F.bit_count(F.col("a.k2").bitwiseXOR(F.col("b.k2"))) <= size_a + size_b - 2 * needed)
-            & ((F.col("a.k1") != F.col("b.k1")) | (F.col("a.k2") != F.col("b.k2"))),
-        ).select(F.col("a.k1").alias("k1"), F.col("a.k2").alias("k2"), F.col("a.at").alias("at"), F.col("b.at").alias("other"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The (k1, k2) of ``pairs`` (k1, k2, at, other), a stored table, for which some line at ``other`` is similar."""
-        ends = pairs.select(F.col("at").alias("p")).union(pairs.select("other")).distinct()
-        doc = F.nullif(F.shiftright("p", 20), F.lit(-(1 << 41))) if small else F.col("p.doc")
-        line = F.col("p").bitwiseAND((1 << 20) - 1) if small else F.col("p.line")
-        places = ends.select(doc.alias("of_doc"), line.cast("int").alias("l")).groupBy("of_doc").agg(F.collect_set("l").alias("wanted"))
-        places = store(places, "wanted")
-        theirs = F.broadcast(places) if places.count() <= BROADCAST_DOCS else places
-        sets = store(
-            texts.join(theirs, F.col("doc").eqNullSafe(F.col("of_doc"))).select("doc", "body", "wanted")
-            .mapInArrow(_fetch, "doc long, line int, k1 long, k2 long, words array<long>")
-            .select(place_of(F.col("doc"), F.col("line")).alias("p"), "k1", "k2", "words"),
-            "sets",
-        )
-        mine = sets.select(F.col("p").alias("at"), "k1", "k2", F.col("words").alias("wa"))
-        others = sets.select(F.col("p").alias("other"), F.col("words").alias("wb"))
-        common = F.size(F.array_intersect("wa", "wb"))
-        return (
-            pairs.join(mine, ["at", "k1", "k2"]).join(others, "other")
-            .filter(common >= (F.size("wa") + F.size("wb") - common) * t - 1e-9).select("k1", "k2").distinct()
-        )
-
-    # of each class only its earliest and its latest candidate travel: one that holds is enough
-    found = store(candidates(met, met).groupBy("k1", "k2").agg(F.min("at").alias("at"), F.min("other").alias("lo"), F.max("other").alias("hi")), "earliest")
-    ends = store(found.select("k1", "k2", "at", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("other")), "ends")
-    similar = store(verified(ends), "similar")
-    # classes whose two candidates failed, and that may have others: all of theirs
-    open_ones = store(found.filter("lo <> hi").join(similar, ["k1", "k2"], "left_anti").select("k1", "k2"), "open")
-    if n := open_ones.count():
-        theirs = store(placed.join(F.broadcast(open_ones) if n <= BROADCAST_DOCS else open_ones, ["k1", "k2"], "left_semi").select(*placed.columns), "openrows")
-        codes = store(theirs.select("code").distinct(), "codes")
-        sharing = placed.join(F.broadcast(codes) if codes.count() <= BROADCAST_DOCS else codes, "code", "left_semi").select(*placed.columns)
-        every = store(candidates(by_code(theirs), by_code(sharing)).distinct(), "every")
-        similar = store(similar.union(verified(every)).distinct(), "similar")
-    firsts = lines.groupBy("k1", "k2").agg(F.min(place_of(F.col("doc"), F.col("line"))).alias("first"))
-    limits = store(firsts.join(similar.withColumn("held", F.lit(True)), ["k1", "k2"], "left"), "limits")
-    flagged = lines.join(limits, ["k1", "k2"]).select(
-        "doc", "hash", "line", (F.coalesce("held", F.lit(False)) | (place_of(F.col("doc"), F.col("line")) > F.col("first"))).alias("removed")
-    )
-    return flagged, scanned.filter("kind = 1").select("doc", "hash")
-
-
-def _removed(flagged: DataFrame) -> DataFrame:
-    return flagged.groupBy("doc", "hash").agg(
-        F.count_distinct("line").alias("n_lines"),
-        F.array_sort(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("removed_lines"),
-    )
+def _removed(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("doc", "hash").agg(F.array_sort(F.collect_set("line")).alias("removed_lines"))
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, n_lines, removed_lines) of every row of ``docs``: its lines with words, and those removed by number from 0."""
-    flagged, every = line_flags(docs, id_col, text_col, threshold)
-    mine = _removed(flagged).withColumnsRenamed({"doc": "of_doc", "hash": "of_hash"})
+    removed, every = line_flags(docs, id_col, text_col, threshold)
+    mine = _removed(removed).withColumnsRenamed({"doc": "of_doc", "hash": "of_hash"})
     return every.join(mine, F.col("doc").eqNullSafe(F.col("of_doc")) & (F.col("hash") == F.col("of_hash")), "left").select(
-        F.col("doc").alias(id_col),
-        F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"),
+        F.col("doc").alias(id_col), "n_lines", F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines")
     )
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with its texts rid of the removed lines; all else as it is."""
-    flagged, _ = line_flags(docs, id_col, text_col, threshold)
-    gone = _removed(flagged.filter("removed")).select(F.col("doc").alias("__cf_doc"), F.col("hash").alias("__cf_hash"), F.col("removed_lines").alias("__cf_gone"))
+    """``docs`` with its texts rid of the removed lines; all else as it is, null texts stay null."""
+    removed, _ = line_flags(docs, id_col, text_col, threshold)
+    gone = _removed(removed).select(F.col("doc").alias("__cf_doc"), F.col("hash").alias("__cf_hash"), F.col("removed_lines").alias("__cf_gone"))
     body = F.col(f"`{text_col}`").cast("string")
     joined = docs.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__cf_doc")) & (F.xxhash64(body) == F.col("__cf_hash")), "left")
     kept: Column = F.array_join(F.filter(F.split(body, "\n"), lambda _, i: ~F.array_contains("__cf_gone", i)), "\n")
