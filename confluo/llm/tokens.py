@@ -61,8 +61,9 @@ def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
 def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """``docs`` with n_bytes, n_tokens and over_limit of the whole text.
 
-    Null counts as the empty text: 0 bytes, 0 tokens.  Input columns of these names are replaced; other
-    columns, repeated rows and row order within a partition are kept.
+    Null counts as the empty text: 0 bytes, 0 tokens.  Bytes that are no UTF-8 are counted as they are and tokenized
+    as U+FFFD, as in the files.  Input columns of these names are replaced; other columns, repeated rows and row order
+    within a partition are kept; an empty table gives an empty table.
     """
     spec = read_spec(tokenizer)
 
@@ -70,7 +71,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text_col: str = "text", limit:
         known = vocabulary(spec)
 
         def score(texts: list[bytes]) -> list[pa.Array]:
-            n = [c for part in _slices(texts) for c in known.count([t.decode() for t in part]).tolist()]
+            n = [c for part in _slices(texts) for c in known.count([t.decode("utf-8", "replace") for t in part]).tolist()]
             return [
                 pa.array([len(t) for t in texts], pa.int64()),
                 pa.array(n, pa.int64()),
