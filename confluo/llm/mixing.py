@@ -26,9 +26,10 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def hash_share(doc_id: Column, seed: str = SEED) -> Column:
-    """A number from 0 to 1 (exclusive) that depends on the id alone: 52 bits of an MD5."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def hash_share(doc_id: Column, body: Column, seed: str = SEED) -> Column:
+    """A number from 0 to 1 (exclusive) that depends on id and text: 52 bits of an MD5."""
+    of_text = F.md5(F.coalesce(body.cast("string"), F.lit("")).cast("binary"))
+    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), of_text)
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -73,9 +74,10 @@ def with_copies(
 ) -> DataFrame:
     """``docs`` with size, source_size, target and copies (how often the mix emits the row).
 
-    Null and empty texts have size 0; null is a source of its own, after all others.  Rows that share an id draw alike.
-    A source of size 0 has target 0 and is not emitted.  Input columns of these four names are replaced.  Reruns agree:
-    the draw depends on the id and the seed alone.
+    Null and empty texts have size 0; null is a source of its own, after all others.  A source of size 0 has target 0 and
+    is not emitted.  Rows with a null or a repeated id draw by their texts; only rows that repeat both id and text draw
+    alike.  Input columns of these four names are replaced; an empty table gives an empty table.  Reruns agree: the draw
+    depends on id, text and seed alone.
     """
     own = ("size", "source_size", "target", "copies")
     kept = [c for c in docs.columns if c.lower() not in own]
@@ -93,12 +95,15 @@ def with_copies(
             salted, source.eqNullSafe(F.col("__cf_source")) & (F.col("__cf_salt") == F.col("__cf_salted"))
         )
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (hash_share(F.col(f"`{id_col}`"), seed) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + (hash_share(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed) < rate - F.floor(rate)).cast("long")
     return joined.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as :func:`with_copies` says."""
+    """The mix itself: every row of ``docs`` as often as :func:`with_copies` says, with the columns of ``docs`` only.
+
+    Nulls, repeated rows and empty tables are as there; rows of size 0 follow their source's rate like any other.
+    """
     drawn = with_copies(docs, **options).filter("copies > 0")
     return drawn.withColumn("__cf_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -2,7 +2,7 @@
 
 MIXING = r"""
 WITH measured AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(coalesce(text, '')) AS of_text FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM measured GROUP BY source
 ), placed AS (
@@ -20,7 +20,7 @@ WITH measured AS (
   SELECT source, source_size, least(cap, coalesce((SELECT level FROM chosen) * weight, cap)) AS target FROM ordered
 ), rated AS (
   SELECT m.doc_id, m.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS rate,
-    ('0x' || substr(md5('mix-1:' || coalesce(m.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS draw
+    ('0x' || substr(md5('mix-1:' || coalesce(m.doc_id::VARCHAR, '') || ':' || m.of_text), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0::DOUBLE AS draw
   FROM measured m JOIN targets t ON m.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rated
