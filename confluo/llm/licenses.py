@@ -1,7 +1,8 @@
 """License scans, with DataFrame functions only.
 
 Text windows overlap so that any stretch of a template's length lies in one of them.  MinHash bands of a window and of
-the templates meet in a broadcast join (the templates are a short fixed list), with as many bands as make a miss of a
+the templates meet in a broadcast join (the templates are a short fixed list; beyond ``MAX_TEMPLATES`` call it with
+parts of the list and union the results, which are by template), with as many bands as make a miss of a
 window that holds the least containment rarer than ``MISS``; exact shingle containment then decides.  A band of a window
 can only meet a template's if the window holds a shingle of it, so texts without any are passed over first.
 """
@@ -77,7 +78,9 @@ def scan_licenses(
     """(id, license_id, containment, n_windows) of each document and template that a window of it holds.
 
     containment is the largest share of the template's distinct five-word shingles in one window, n_windows the windows
-    that hold at least ``containment``.  Null and short texts hold none; rows that share an id are reported together.
+    that hold at least ``containment``.  Null and short texts hold none; rows that share an id, null among them, are
+    reported together; an empty table gives an empty table.  Only windows that share a shingle with some template are
+    formed, each with its own words, so work grows with the length of a text and not with its square.
     """
     spark, templates = docs.sparkSession, TEMPLATES if templates is None else templates
     if len(templates) > MAX_TEMPLATES:
@@ -105,27 +108,32 @@ def scan_licenses(
         stride, window, bands = plan_of(length, containment)
         starts = F.sequence(F.lit(0), F.greatest(F.size("words") - length, F.lit(0)), F.lit(stride))
 
+        def inside(start: Column) -> Column:
+            return F.slice(F.col("hashes"), start + 1, F.lit(window - n + 1))
+
         def at(start: Column) -> Column:
-            inside = F.slice(F.col("hashes"), start + 1, F.lit(window - n + 1))
-            return F.struct(F.lit(length).alias("length"), start.alias("start"), F.array(*[_band(inside, k) for k in range(bands)]).alias("bands"))
+            return F.struct(
+                F.lit(length).alias("length"),
+                start.alias("start"),
+                F.slice(F.col("words"), start + 1, F.lit(window)).alias("words"),
+                F.array(*[_band(inside(start), k) for k in range(bands)]).alias("bands"),
+            )
 
-        return F.transform(starts, at)
+        return F.transform(F.filter(starts, lambda start: F.arrays_overlap(inside(start), some)), at)
 
     most = max((plan_of(x, containment)[2] for x in lengths), default=1)
     theirs = (
         hashes["known"].select("license_id", "length", F.posexplode(F.array(*[_band(F.col("hashes"), k) for k in range(most)])).alias("k", "band"))
     )
-    placed = hit.select("id", "words", F.explode(F.concat(*[windows(x) for x in lengths]) if lengths else F.array().cast("array<struct<length:int,start:int,bands:array<bigint>>>")).alias("w"))
-    banded = placed.select("id", "words", "w.length", "w.start", F.posexplode("w.bands").alias("k", "band"))
+    none = F.array().cast("array<struct<length:int,start:int,words:array<string>,bands:array<bigint>>>")
+    placed = hit.select("id", F.explode(F.concat(*[windows(x) for x in lengths]) if lengths else none).alias("w"))
+    banded = placed.select("id", "w.words", "w.length", "w.start", F.posexplode("w.bands").alias("k", "band"))
     met = banded.join(F.broadcast(theirs), ["length", "k", "band"])
-    spans = {x: plan_of(x, containment)[1] for x in lengths}
-    size = F.get(F.array(*[F.lit(spans.get(x, 0)) for x in range(max(lengths, default=0) + 1)]), F.col("length")) if lengths else F.lit(0)
     whole = known.filter(F.size("words") >= n).select(
         "license_id", F.array_distinct(_shingles(F.col("words"), F.lit(0), F.size("words") - n + 1)).alias("wanted")
     )
-    n_inside = F.least(size, F.size("words") - F.col("start")) - n + 1
     verified = (
-        met.select("id", "license_id", "start", F.array_distinct(_shingles(F.col("words"), F.col("start"), n_inside)).alias("inside"))
+        met.select("id", "license_id", "start", F.array_distinct(_shingles(F.col("words"), F.lit(0), F.size("words") - n + 1)).alias("inside"))
         .join(F.broadcast(whole), "license_id")
         .withColumn("containment", F.size(F.array_intersect("wanted", "inside")) / F.size("wanted"))
         .filter(F.col("containment") >= containment)
