@@ -2,15 +2,17 @@
 
 A 64-bit fingerprint is cut into 32 segments of two bits; the vector of segment
 popcounts lies within Manhattan distance ``d`` of another whenever the fingerprints
-differ in at most ``d`` bits.  The segments form ``d + 2`` groups, so two linked vectors
-agree exactly on at least two groups: each pair of groups is a grid whose cells are those
-groups' popcounts, and linked vectors share a cell of some grid.  A candidate pair is kept
+differ in at most ``d`` bits.  The segments form ``d + s`` groups, so two linked vectors
+agree exactly on at least ``s`` groups: each choice of ``s`` groups is a grid whose cells are
+those groups' popcounts, and linked vectors share a cell of some grid; ``s`` rises with the
+number of fingerprints, which keeps cells small.  A candidate pair is kept
 only in the first grid where it meets, if its Manhattan distance and then its exact
 Hamming distance are at most ``d``.  Nothing is approximate.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.components import components, fold_links
-from ..plans.storage import store
+from ..plans.storage import discard, store
 from .textio import add_columns
 
 SEED = 42
@@ -81,6 +83,16 @@ def _group_masks(groups: int) -> list[int]:
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts, cuts[1:])]
 
 
+def groups_for(n: int, max_bits: int) -> int:
+    """Groups that a grid's cells agree on, for ``n`` distinct fingerprints: as few as keep cells at some 256 of them.
+
+    A segment of two bits tells about 1.5 bits apart, so a cell on s of max_bits + s groups tells 48 s / (max_bits + s).
+    The result of the join is the same for any number.
+    """
+    wanted = max(0.0, math.log2(max(n, 1)) - 8)
+    return next((s for s in range(2, 29 - max_bits) if 48 * s / (max_bits + s) >= wanted), 2)
+
+
 def linked_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS, shared_groups: int = 2) -> DataFrame:
     """Pairs (src, dst) with src < dst of distinct fingerprints at ``max_bits`` or fewer differing bits.
 
@@ -123,6 +135,14 @@ def linked_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS, shared_grou
     ).select(F.col("a.fp").alias("src"), F.col("b.fp").alias("dst"))
 
 
+def _roots(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fingerprint_bits, root) of the distinct fingerprints of ``prints``, a stored table: one root per component."""
+    distinct = store(prints.select("fingerprint_bits").distinct(), "prints")
+    links = linked_fingerprints(distinct, max_bits, groups_for(distinct.count(), max_bits))
+    reached = components(links).select(F.col("node").alias("fingerprint_bits"), F.col("component").alias("root"))
+    return store(distinct.join(reached, "fingerprint_bits", "left").withColumn("root", F.coalesce("root", "fingerprint_bits")), "roots")
+
+
 def simhash_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -141,28 +161,42 @@ def simhash_groups(
     prints = store(
         with_fingerprint(ids, ids.columns[1], words_per_shingle).select(id_col, "fingerprint_bits"), "simhash"
     )
-    distinct = store(prints.groupBy("fingerprint_bits").agg(F.min(id_col).alias("first_id")), "prints")
-    links = linked_fingerprints(distinct.select("fingerprint_bits"), max_bits)
-    reached = components(links)  # over fingerprints; smallest ids follow
-    named = distinct.join(
-        reached.select(F.col("node").alias("fingerprint_bits"), F.col("component").alias("root")), "fingerprint_bits", "left"
-    ).withColumn("root", F.coalesce("root", "fingerprint_bits"))
+    roots = _roots(prints, max_bits)
+    named = prints.groupBy("fingerprint_bits").agg(F.min(id_col).alias("first_id")).join(roots, "fingerprint_bits")
     named = store(named, "named")
     smallest = store(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
     of_print = store(named.join(smallest, "root").select("fingerprint_bits", "component_id"), "ofprint")
+    discard(roots, named, smallest)
     return prints.join(of_print, "fingerprint_bits").select(
         id_col, F.lpad(F.lower(F.hex("fingerprint_bits")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` without the documents that another of their group, the one with the smallest id, stands for.
+    """One row of ``docs`` for each group: that with the smallest id, then the smallest hash of its text.
 
-    Rows that share an id are one document and stay or go together; rows with a null id stay.
+    Rows are judged one by one, whatever id they share; rows with a null id come last of their group.  Of rows that repeat
+    both id and text one stays.  Null and empty texts are a group like any other; an empty table gives an empty table.
     """
-    groups = simhash_groups(docs, id_col, text_col, max_bits)
-    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    own, body = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(own.alias("id"), F.xxhash64(body).alias("hash"), body.alias("body"))
+    prints = store(with_fingerprint(rows, "body").select("id", "hash", "fingerprint_bits"), "simhash")
+    roots = _roots(prints, max_bits)
+    placed = prints.join(roots, "fingerprint_bits").groupBy("root", "id", "hash").agg(F.count("*").alias("n"))
+    placed = store(placed.withColumn("late", F.col("id").isNull()), "placed")
+    first = F.struct("late", "id", "hash")
+    best = placed.groupBy("root").agg(F.min(first).alias("best"))
+    others = placed.join(best, "root")
+    gone = store(others.filter(first != F.col("best")).select(F.col("id").alias("__cf_id"), F.col("hash").alias("__cf_hash")), "gone")
+    again = store(placed.filter("n > 1").select(F.col("id").alias("__cf_id"), F.col("hash").alias("__cf_hash")), "again")
+    same = own.eqNullSafe(F.col("__cf_id")) & (F.xxhash64(body) == F.col("__cf_hash"))
+    left = docs.join(gone, same, "left_anti")
+    if again.isEmpty():
+        return left.select(*columns)
+    key = F.struct(own.isNull(), own, F.xxhash64(body))
+    repeated = left.join(again, same, "left_semi").withColumn("__cf_key", key).dropDuplicates(["__cf_key"])
+    return left.join(again, same, "left_anti").select(*columns).union(repeated.select(*columns))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
