@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..plans.components import components
 from ..plans.shipping import ship
-from ..plans.storage import store
+from ..plans.storage import discard, store
 
 MIN_COSINE = 0.93
 #: Tables, cells that a vector probes besides its own, and the width of lattice cells against projections.
@@ -251,7 +251,8 @@ def embedding_links(
 
     Only vectors with equal, non-null labels and equal length are compared.  Vectors that are null, empty or zero or
     hold null or non-finite components, and rows with a null id, link with nothing: n_links 0, component_id the id.
-    Rows that repeat an id are other vectors to each other.  Extra columns are not read.
+    Rows that repeat an id are other vectors to each other.  Extra columns are not read; an empty table gives an empty
+    table.  Classes of equal vectors have numbers of their own, which no id decides.
     """
     spark = embeddings.sparkSession
     ship(spark)
@@ -268,7 +269,8 @@ def embedding_links(
         )
     )
     good = rows.filter(sound)
-    classes = store(good.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("n")), "vectors")
+    classes = good.groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    classes = store(classes.withColumn("rep", F.monotonically_increasing_id()), "vectors")  # written once, so numbers stay
     given = classes.select("label", "rep", "n", "vector")
     kind = given.schema["vector"].dataType.simpleString()
     # how many blocks a large cell is cut into, from counts alone
@@ -299,14 +301,15 @@ def embedding_links(
     found = dealt.mapInArrow(lambda batches: _link_runs(batches, min_cosine), "id long, n long, other long")
     found = store(found, "found")
     counts = found.groupBy("id").agg(F.sum("n").alias("n_other"))
-    reached = components(found.select("other", "id"))
+    reached = store(components(found.select("other", "id")).toDF("rep", "root"), "reached")
+    least = reached.join(classes.select("rep", "least"), "rep").groupBy("root").agg(F.min("least").alias("component"))
+    named = reached.join(least, "root").select("rep", "component")
     by_class = store(
-        classes.select("rep", "n", "label", "vector")
-        .join(counts.withColumnRenamed("id", "rep"), "rep", "left")
-        .join(reached.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .select("label", "vector", (F.coalesce("n_other", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("component")),
+        classes.join(counts.withColumnRenamed("id", "rep"), "rep", "left").join(named, "rep", "left")
+        .select("label", "vector", (F.coalesce("n_other", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "least").alias("component")),
         "byclass",
-    )
+    )
+    discard(found, reached, cut)
     of_good = good.join(by_class, ["label", "vector"]).select("id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
     rest = rows.filter(~sound).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return of_good.union(rest).select(
