@@ -1,7 +1,8 @@
 """Language identification: known words by per-language log frequency, else shorter and shorter character n-grams.
 
-The model is learned from a bounded sample of labelled documents (``MAX_TRAIN_DOCS``, chosen by a hash of the id) and
-holds at most ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams, so what is broadcast doesn't grow with the corpus.
+The model is learned from a bounded sample of labelled documents (about ``MAX_TRAIN_DOCS``, chosen by a hash of the id,
+and some ``LEAST_DOCS`` of each language at least), so what is broadcast doesn't grow with the corpus.  Words that the
+sample has once only are left to the n-grams.
 """
 
 from __future__ import annotations
@@ -18,15 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.shipping import ship
-from ..plans.storage import store
+from ..plans.storage import discard, store
 from .textio import add_columns, texts_of
 
-#: Documents that are learned from at most; words and n-grams that the model holds at most.
-MAX_TRAIN_DOCS, MAX_WORDS, MAX_GRAMS = 6_000, 50_000, 60_000
+#: Documents that are learned from at most, besides so many of each rare language; occurrences of a known word and n-gram.
+MAX_TRAIN_DOCS, LEAST_DOCS, LEAST_WORD, LEAST_GRAM = 6_000, 100, 2, 3
 #: Longest n-gram, smoothing, and unseen words whose scores a worker remembers.
 LONGEST, ALPHA, KEPT = 5, 0.5, 400_000
 UNKNOWN = "und"
-_WORDS = re.compile(r"[^\W\d_]+")
+#: Runs of letters; longer ones, as in scripts without spaces, are cut into words of this length.
+LONGEST_WORD = 32
+_WORDS = re.compile(r"[^\W\d_]{1,%d}" % LONGEST_WORD)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -60,7 +63,6 @@ class Model:
 
     def unseen(self, word: str) -> np.ndarray:
         """Mean log frequency of the longest n-grams that are known at all; zeros if not even a character is."""
-        word = word[:64]  # of a word; texts are never cut
         for n in range(LONGEST, 0, -1):
             known = [self.grams[g] for g in grams(word, n) if g in self.grams]
             if known:
@@ -118,62 +120,74 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Counter = Counter()
         for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             for size in range(1, LONGEST + 1):
-                for g in grams(word[:64], size):
+                for g in grams(word, size):
                     totals[size, lang, g] += n
         yield from _emit([(*k, n) for k, n in totals.items()], ["kind", "lang", "piece", "n"])
 
 
-def _logs(table: list, langs: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """Index and smoothed log frequencies by language of (piece, {lang: n}) rows of one kind."""
-    counts = np.array([[row["by"].get(x, 0) for x in langs] for row in table], np.float64).reshape(-1, len(langs)) + ALPHA
-    return {row["piece"]: i for i, row in enumerate(table)}, np.log(counts / counts.sum(0))
+def _logs(pieces: list[str], langs: list[int], n: np.ndarray, of: np.ndarray, many: int) -> np.ndarray:
+    """Smoothed log frequencies by language from the counts ``n`` of piece ``of`` in language ``langs``."""
+    counts = np.full((len(pieces), many), ALPHA)
+    np.add.at(counts, (of, langs), n)
+    return np.log(counts / counts.sum(0))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_TRAIN_DOCS) -> Model:
-    """Learn from the labelled documents that are not held out, at most about ``max_docs`` of them by a hash of the id.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_TRAIN_DOCS, least_docs: int = LEAST_DOCS) -> Model:
+    """Learn from the labelled documents that are not held out: about ``max_docs`` of them by a hash of the id.
 
-    Rows with a null text or language teach nothing; without any, the model answers ``und`` throughout.
+    Of each language at least some ``least_docs`` are read, or all if it has fewer, so a rare language is known too.
+    Rows with a null text or language teach nothing, nor do texts without letters; a language that teaches nothing is
+    never predicted.  Without any language the model answers ``und`` throughout.  Rows with a null id are drawn together.
     """
     ship(docs.sparkSession)
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("body"))
-    labelled = source.filter(F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    by_lang = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
-    langs, n = sorted(by_lang), sum(by_lang.values())
-    if not langs:
-        return Model([], np.zeros(0), {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
-    share = min(1.0, max_docs / n)
-    some = labelled.filter(F.col("body").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))))
+    labelled = source.filter(F.col("lang").isNotNull() & F.col("body").isNotNull() & ~held_out(F.col("id")))
+    by_lang = store(labelled.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    total = by_lang.agg(F.sum("n")).first()[0] or 0
+    wanted = F.greatest(F.lit(max_docs / max(total, 1)), F.lit(float(least_docs)) / F.col("n"))
+    shares = by_lang.select("lang", (F.least(F.lit(1.0), wanted) * (1 << 30)).cast("long").alias("below"))
+    some = labelled.join(shares, "lang").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("below"))
     by_word = store(
         some.select("lang", "body").mapInArrow(_count_words, "lang string, piece string, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")),
         "words",
     )
     by_gram = by_word.mapInArrow(_count_grams, "kind int, lang string, piece string, n long")
     pieces = by_word.select(F.lit(0).alias("kind"), "lang", "piece", "n").union(by_gram)
-    by_piece = store(
+    counted = (
         pieces.groupBy("kind", "piece", "lang").agg(F.sum("n").alias("n"))
-        .groupBy("kind", "piece").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
-        .filter("kind = 0 or n >= 3"),
-        "pieces",
-    )
-    words = by_piece.filter("kind = 0").orderBy(F.desc("n"), "piece").limit(MAX_WORDS).collect()
-    index: dict[str, int] = {}
-    rows = []
-    per_kind = MAX_GRAMS // LONGEST
-    for kind in range(1, LONGEST + 1):
-        found = by_piece.filter(F.col("kind") == kind).orderBy(F.desc("n"), "piece").limit(per_kind).collect()
-        if found:
-            own, logs = _logs(found, langs)
-            index.update({g: i + sum(map(len, rows)) for g, i in own.items()})
-            rows.append(logs)
-    known, word_logs = _logs(words, langs)
-    prior = np.log(np.array([by_lang[x] for x in langs]) / n)
-    return Model(langs, prior, known, word_logs, index, np.concatenate(rows) if rows else np.zeros((0, len(langs))))
+        .groupBy("kind", "piece").agg(F.collect_list(F.struct("lang", "n")).alias("by"), F.sum("n").alias("n"))
+        .filter(F.col("n") >= F.when(F.col("kind") == 0, LEAST_WORD).otherwise(LEAST_GRAM))
+        .select("kind", "piece", F.explode("by").alias("one")).select("kind", "piece", "one.lang", "one.n")
+    )
+    found = counted.toArrow()
+    kinds, n = found.column("kind").to_numpy(), found.column("n").to_numpy()
+    coded = found.column("lang").combine_chunks().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    langs = sorted(names)
+    of_lang = np.array([langs.index(x) for x in names], np.int64)[coded.indices.to_numpy()] if names else np.zeros(0, np.int64)
+    docs_of = {r["lang"]: r["n"] for r in by_lang.filter(F.col("lang").isin(langs)).collect()} if langs else {}
+    discard(by_word, by_lang)
+    if not langs:
+        return Model([], np.zeros(0), {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
+    prior = np.log(np.array([docs_of[x] for x in langs]) / sum(docs_of.values()))
+    index: dict[int, dict[str, int]] = {}
+    logs: dict[int, np.ndarray] = {}
+    for kind in range(LONGEST + 1):
+        mine = np.flatnonzero(kinds == kind)
+        piece = found.column("piece").take(pa.array(mine)).combine_chunks().dictionary_encode()
+        texts = piece.dictionary.to_pylist()
+        index[kind] = {p: i for i, p in enumerate(texts)}
+        logs[kind] = _logs(texts, of_lang[mine], n[mine], piece.indices.to_numpy(), len(langs))
+    begun = np.cumsum([0, *(len(logs[k]) for k in range(1, LONGEST + 1))]).tolist()
+    of_grams = {p: i + begun[k - 1] for k in range(1, LONGEST + 1) for p, i in index[k].items()}
+    return Model(langs, prior, index[0], logs[0], of_grams, np.concatenate([logs[k] for k in range(1, LONGEST + 1)]))
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (the language's share of the odds) of the whole text.
 
-    ``und`` and 0.0 if the text is null or has no letter.  Input columns of these names are replaced.
+    ``und`` and 0.0 if the text is null or has no letter.  Input columns of these names are replaced; all others, repeated
+    rows and null ids are kept; an empty table gives an empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
