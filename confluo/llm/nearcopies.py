@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ordered import rank_index
 from ..plans.shipping import ship
 from ..plans.storage import discard, store
 from .textio import add_columns, give_back
@@ -101,7 +102,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keys = add_columns(plain, "body", [("keys", T.ArrayType(T.LongType()))], make)
     every = store(keys.select("id", F.explode("keys").alias("key")).distinct(), "bands")
     members = store(_crowded(every).select("key", "id"), "members")
-    texts = store(plain.join(members.select("id").distinct(), "id", "left_semi"), "texts")
+    texts = store(plain.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "texts")
     most, found = PAIRS_PER_KEY * every.count(), []
     while True:
         ranked = store(_crowded(members), "ranked")
@@ -127,9 +128,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` (a stored table) without the documents that are near copies of one with a smaller id.
+    """``docs`` (a stored table) without the rows that are near copies of an earlier one: smaller id, then hash of the text.
 
-    Rows that share an id are one document and stay or go together; rows with a null id stay.
+    Rows are judged one by one, whatever id they share; null ids come last.  Rows that repeat both id and text stay or go
+    together.  Texts without words stay; an empty table gives an empty table.
     """
-    gone = near_copies(docs, id_col, text_col).select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    own, hashed = F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = store(docs.select(own.alias("__cf_id"), hashed.alias("__cf_hash")).distinct(), "rows")
+    if rows.groupBy("__cf_id").agg(F.count("*").alias("n")).filter("n > 1 or __cf_id is null").isEmpty():
+        gone = near_copies(docs, id_col, text_col).select(F.col("id").alias("__cf_gone")).distinct()
+        return docs.join(gone, own == F.col("__cf_gone"), "left_anti").select(*columns)
+    ranks = rank_index(rows.withColumn("__cf_late", F.col("__cf_id").isNull()), ["__cf_late", "__cf_id", "__cf_hash"], "__cf_row")
+    placed = docs.join(ranks, own.eqNullSafe(F.col("__cf_id")) & (hashed == F.col("__cf_hash")))
+    placed = store(placed.select(*columns, "__cf_row"), "placed")
+    gone = near_copies(placed, "__cf_row", text_col).select(F.col("id").alias("__cf_gone")).distinct()
+    return placed.join(gone, F.col("__cf_row") == F.col("__cf_gone"), "left_anti").select(*columns)
