@@ -7,8 +7,8 @@ those prefixes meet.  If the first word that two sets share is a frequent one, a
 a frequent word of a prefix is keyed by pairs with the words after it, so groups of one word stay small however large the
 corpus is.
 
-Prefixes travel as packed blocks of columns (key, place, size, position, 64 parities of words), dealt by key; a task meets
-groups of one key.  Pairs must pass the length filter, the positional filter and a bound by the parities.  A line asks first
+Prefixes travel as packed blocks of columns (key, place, size, position, 64 to 256 parities of words by the line's length),
+dealt by key; a task meets groups of one key.  Pairs must pass the length filter, the positional filter and a bound by the parities.  A line asks first
 the earliest few lines of its group; at the first that passes it stops, so groups of many similar lines cost their size, not
 its square.  All pairs are compared word by word on the lines themselves.  Lines that stopped at candidates which all fail
 then meet the rest of those groups.
@@ -38,6 +38,8 @@ BUCKETS, SLICES = 1 << 20, 64
 FREQUENT = 4096
 #: Prefix words of a block before it is dealt out, and of one part on average.
 BLOCK_WORDS, PART_WORDS = 1_000_000, 400_000
+#: Words of a line above which its parities are 128 and 256 instead of 64: enough to tell unlike lines of that length apart.
+MORE_PARITIES = (64, 160)
 #: Earliest lines of a group that a line asks one by one.
 ASKED = 8
 #: Bytes of a table up to which it is broadcast; beyond, it is joined by a shuffle.
@@ -214,24 +216,43 @@ def prefix_length(sizes: np.ndarray, threshold: float) -> np.ndarray:
     return np.where(sizes >= threshold * (sizes + 1) - 1e-9, length, 0)
 
 
-_COLUMNS = ("code", "doc", "line", "size", "place", "sig", "check")
+_COLUMNS = ("code", "doc", "line", "size", "place", "check", "sig", "sig1", "sig2", "sig3")
+#: Columns that lines up to so many words don't have: zeros there.
+_LONG_ONLY = {"sig1": MORE_PARITIES[0], "sig2": MORE_PARITIES[1], "sig3": MORE_PARITIES[1]}
+_HEAD = struct.Struct(f"<Iq{len(_COLUMNS)}B")
 _CODE_BITS = np.uint64(48)
 
 
+def parities(words: np.ndarray, distinct: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
+    """Parities of each set's words in 256 slots, folded to 64 (sig), and what longer lines need to unfold them.
+
+    With s0 to s3 the four words of 64 slots: sig is the XOR of all, sig1 = s1 ^ s3, sig2 = s2, sig3 = s3; 128 slots are
+    (sig ^ sig1, sig1).
+    """
+    slots = words >> np.uint64(56)
+    bits = np.where(distinct, np.uint64(1) << (slots & np.uint64(63)), np.uint64(0))
+    folds = [np.bitwise_xor.reduce(np.where(slots >> np.uint64(6) == np.uint64(k), bits, np.uint64(0)), axis=1) for k in range(4)]
+    out = {"sig": folds[0] ^ folds[1] ^ folds[2] ^ folds[3], "sig1": folds[1] ^ folds[3], "sig2": folds[2], "sig3": folds[3]}
+    return {c: np.where(sizes > _LONG_ONLY[c], v, np.uint64(0)) if c in _LONG_ONLY else v for c, v in out.items()}
+
+
 def pack(rows: dict[str, np.ndarray]) -> bytes:
     """Columns of a block in as few bytes a number as each needs; codes must rise, and go as differences."""
     n, low = len(rows["code"]), int(rows["doc"].min())
     plain = rows | {"code": np.diff(rows["code"], prepend=np.uint64(0)), "doc": rows["doc"].view(np.uint64) - np.int64(low).view(np.uint64)}
-    small = [plain[c].astype(np.min_scalar_type(int(plain[c].max()))) for c in _COLUMNS]
-    return b"".join([struct.pack("<Iq7B", n, low, *(c.itemsize for c in small)), *(c.tobytes() for c in small)])
+    plain |= {c: rows[c][rows["size"] > least] for c, least in _LONG_ONLY.items()}
+    small = [plain[c].astype(np.min_scalar_type(int(plain[c].max(initial=0)))) for c in _COLUMNS]
+    return b"".join([_HEAD.pack(n, low, *(c.itemsize for c in small)), *(c.tobytes() for c in small)])
 
 
 def unpack(data: bytes) -> dict[str, np.ndarray]:
-    n, low, *sizes = struct.unpack_from("<Iq7B", data)
-    at, rows = struct.calcsize("<Iq7B"), {}
+    n, low, *sizes = _HEAD.unpack_from(data)
+    at, rows = _HEAD.size, {}
     for name, size in zip(_COLUMNS, sizes, strict=True):
-        rows[name] = np.frombuffer(data, f"<u{size}", n, at).astype(np.uint64)
-        at += n * size
+        held = np.flatnonzero(rows["size"] > np.uint64(_LONG_ONLY[name])) if name in _LONG_ONLY else np.arange(n)
+        rows[name] = np.zeros(n, np.uint64)
+        rows[name][held] = np.frombuffer(data, f"<u{size}", len(held), at)
+        at += len(held) * size
     rows["code"] = np.cumsum(rows["code"], dtype=np.uint64)
     rows["doc"] = (rows["doc"] + np.int64(low).view(np.uint64)).view(np.int64)
     for name in ("line", "size", "place"):
@@ -246,8 +267,7 @@ def _prefix_rows(found: _Lines, order: _Order, threshold: float, docs: np.ndarra
     """
     for mine, words, distinct in found.rows():
         k1, _, size = _keys(words, distinct)
-        bits = np.where(distinct, np.uint64(1) << (words >> np.uint64(58)), np.uint64(0))
-        parity = np.bitwise_xor.reduce(bits, axis=1)
+        parity = parities(words, distinct, size)
         ranked = (order.ranks[(words & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(44)) | (words >> np.uint64(20))
         ranked = np.sort(np.where(distinct, ranked, _NONE), axis=1)
         taken = prefix_length(size, threshold)
@@ -272,8 +292,8 @@ def _prefix_rows(found: _Lines, order: _Order, threshold: float, docs: np.ndarra
             "line": found.number[lines].astype(np.int64),
             "size": size[which].astype(np.int64),
             "place": place.astype(np.int64),
-            "sig": parity[which],
             "check": k1.view(np.uint64)[which] & np.uint64(0xFFFFFFFF),
+            **{c: v[which] for c, v in parity.items()},
         }
 
 
@@ -341,8 +361,16 @@ class _Groups:
         need = np.ceil((na + nb) * (t / (1 + t)) - 1e-9).astype(np.int64)
         fits = (np.minimum(na, nb) >= np.maximum(na, nb) * t - 1e-9) & (na - r["place"][a] >= need) & (nb - r["place"][b] >= need)
         near = np.flatnonzero(fits)
-        x, y = a[near], b[near]
-        near = near[np.bitwise_count(r["sig"][x] ^ r["sig"][y]) <= (na + nb - 2 * need)[near]]
+        apart = na + nb - 2 * need
+        near = near[np.bitwise_count(r["sig"][a[near]] ^ r["sig"][b[near]]) <= apart[near]]
+        for level, least in enumerate(MORE_PARITIES):
+            long = np.minimum(na, nb)[near] > least
+            x, y = a[near[long]], b[near[long]]
+            diff = {c: r[c][x] ^ r[c][y] for c in ("sig", "sig1", "sig2", "sig3")}
+            halves = (diff["sig"] ^ diff["sig1"], diff["sig1"])
+            words = halves if not level else (halves[0] ^ diff["sig2"], diff["sig2"], halves[1] ^ diff["sig3"], diff["sig3"])
+            far = sum(np.bitwise_count(w).astype(np.int64) for w in words) > apart[near[long]]
+            near = np.delete(near, np.flatnonzero(long)[far])
         before = (r["doc"][a[near]] != r["doc"][b[near]]) | (r["line"][a[near]] != r["line"][b[near]])  # rows of one place don't count
         return near[before]
 
