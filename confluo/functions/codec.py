@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 #: First character of the 64-sign alphabet (fixed value).
 FIRST = 45
-#: Endings and their letters (fixed values).
-ENDINGS = {"player": "p", "player+silence": "s", "player+volume": "v", "nosound": "n", "silence": "i", "loop": "l", "error": "e", "volume": "u", "timeout": "t"}
+#: Endings and their letters in the compact file (fixed values).
+ENDINGS = {
+    "error": "e", "player": "p", "timeout": "t", "silence": "s", "loop": "l", "volume": "v", "repeat": "r",
+    "player+silence": "b", "player+volume": "P", "loop+silence": "i", "loop+volume": "L", "nosound": "n",
+}
+#: Milliseconds of a step of the compact file, and the sign of a duplicate part (fixed values).
+STEP, DUPLICATE = 20, "!"
 
 
 def base64_digits(value: Column, digits: int, minimise: bool = False) -> Column:
@@ -30,8 +35,9 @@ def content_key(digest: Column) -> Column:
 
 
 def quantise(ms: Column) -> Column:
-    """Milliseconds in steps of 20, one at least."""
-    return F.greatest(F.floor((ms + 10) / 20), F.lit(1)).cast("long")
+    """Milliseconds as rounded steps of 20; 0 stays 0, any other length is one step at least."""
+    shown = F.when((ms > 0) & (ms < STEP), F.lit(STEP)).otherwise(ms)
+    return F.floor((shown + STEP // 2) / STEP).cast("long")
 
 
 def ending_code(ending: Column) -> Column:
@@ -43,8 +49,46 @@ def ending_name(code: Column) -> Column:
 
 
 def lengths_line(entries: Column) -> Column:
-    """`length,end` of each entry (struct of length and end); `!` for one that equals the one before."""
-    one = lambda e: F.when(e["end"] == "player", e["length"].cast("string")).otherwise(F.concat_ws(",", e["length"].cast("string"), e["end"]))
-    return F.array_join(
-        F.transform(entries, lambda e, i: F.when((i > 0) & (one(e) == one(F.get(entries, i - 1))), F.lit("!")).otherwise(one(e))), " "
-    )
+    """Compact line of an array of structs (length in ms, end, duplicate): entries parted by spaces.
+
+    An entry is the steps in base 64, then the letter of an ending other than `player`, then `!` for a duplicate.  One that
+    equals the one before it in length and ending is left empty, or is `!` alone.  Null endings are `player`.
+    """
+
+    def told(e: Column) -> Column:
+        steps = base64_digits(quantise(F.coalesce(e["length"], F.lit(0)).cast("long")), 4, True)
+        end = F.coalesce(e["end"], F.lit("player"))
+        return F.when(end == "player", steps).otherwise(F.concat(steps, F.lit(","), ending_code(end)))
+
+    plain = F.transform(entries, lambda e: F.struct(told(e).alias("t"), F.coalesce(e["duplicate"], F.lit(False)).alias("d")))
+
+    def line(all_: Column) -> Column:
+        def shown(e: Column, i: Column) -> Column:
+            same = (i > 0) & (e["t"] == F.get(all_, i - 1)["t"])
+            return F.when(same, F.when(e["d"], DUPLICATE).otherwise("")).otherwise(F.concat(e["t"], F.when(e["d"], "," + DUPLICATE).otherwise("")))
+
+        return F.array_join(F.transform(all_, shown), " ")
+
+    return F.get(F.transform(F.array(plain), line), F.lit(0))
+
+
+def parse_lengths(line: Column) -> Column:
+    """The inverse of :func:`lengths_line`: an array of structs (length, end, duplicate), lengths in steps of 20 ms."""
+    kind = "struct<length:long,end:string,duplicate:boolean>"
+    first = F.struct(F.lit(0).cast("long").alias("length"), F.lit("error").alias("end"), F.lit(False).alias("duplicate"))
+
+    def read(text: Column) -> Column:
+        parts = F.split(text, ",")
+        steps, second = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+        return F.struct(
+            F.when(steps == "", F.lit(0)).otherwise(base64_value(steps) * STEP).cast("long").alias("length"),
+            F.when(second.isNull() | (second == DUPLICATE), F.lit("player")).otherwise(ending_name(second)).alias("end"),
+            F.coalesce(F.get(parts, F.size(parts) - 1) == DUPLICATE, F.lit(False)).alias("duplicate"),
+        )
+
+    def step(done: Column, text: Column) -> Column:
+        before = F.coalesce(F.get(done, F.size(done) - 1), first)
+        again = F.struct(before["length"].alias("length"), before["end"].alias("end"), (text == DUPLICATE).alias("duplicate"))
+        return F.concat(done, F.array(F.when((text == "") | (text == DUPLICATE), again).otherwise(read(text))))
+
+    return F.aggregate(F.split(line, " "), F.array().cast(f"array<{kind}>"), step)

@@ -12,11 +12,32 @@ from pyspark.sql import types as T
 
 #: Letters that decomposition leaves alone (fixed values).
 LETTERS = {"ø": "o", "Ø": "O", "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "þ": "th", "Þ": "TH", "ð": "d", "Ð": "D", "ı": "i"}
-#: Company endings in the order in which they are tried (fixed values).
+#: Endings of company names in the order in which they are tried, and one name with a short form of its own (fixed values).
 COMPANY_ENDINGS = (
-    r"[ ,]+inc(orporated)?\.?$", r"[ ,]+ltd\.?$", r"[ ,]+limited$", r"[ ,]+corp(oration)?\.?$", r"[ ,]+gmbh$", r"[ ,]+co\.?$",
-    r"[ ,]+software$", r"[ ,]+games$", r"[ ,]+entertainment$", r"[ ,]+interactive$", r"[ ,]+productions?$", r"[ ,]+publishing$",
+    " company$", " consultants", " corp$", r" corp\.$", " corporation$", " creations$", " design$", " designs$", " development$",
+    " developments$", " dezign$", " entertainment$", " games$", " gmbh$", " graphics$", " inc$", r" inc\.$", " interactive$",
+    " international$", " limited$", " ltd$", " online$", " on-line$", " platinum$", " project$", " projects$", " productions$",
+    " publishing$", " soft$", " software$", " studios$", " system$", " systems$", "[^A-Za-z0-9]",
 )
+SHORT_NAMES = {"International Computer Entertainment": "ice"}
+#: Endings of unfinished games, in the order in which they are tried (fixed values).
+UNFINISHED = (" - demo", " - preview", " - final", " playable", " demo", " playable preview", " preview", " prev", " beta")
+#: Replacements in album titles, in order (fixed values).
+ALBUM_RULES = (
+    (r"\(.*\)", ""), (" PC$", ""), (" ST$", ""), (" - Falcon$", ""), (" - Jaguar$", ""), (" CD32$", ""), (" AGA$", ""), (" preview$", ""),
+    (r" [vV][0-9]+(\.[0-9]+)*\b", ""), (" #(.*)$", " $1"), (" 0([1-9][0-9])$", " $1"), (" 00([0-9])$", " $1"), (" 0([0-9])$", " $1"),
+    (" 0$", ""), (" 1$", ""), (" [Ii]$", ""), (" [Ii][Ii]$", " 2"), (" [Ii][Ii][Ii]$", " 3"), (" [Ii][Vv]$", " 4"), (" [Vv]$", " 5"),
+    (" [Vv][Ii]$", " 6"), (" [Vv][Ii][Ii]$", " 7"), (" [Vv][Ii][Ii][Ii]$", " 8"), (" [Ii][Xx]$", " 9"), ("^The ", ""), ("^A ", ""), ("^An ", ""),
+    ("^[Ff]irst ", "1st "), ("^[Ss]econd ", "2nd "), ("^[Tt]hird ", "3rd "), ("^[Ff]ourth ", "4th "), ("^[Ff]ifth ", "5th "),
+    ("^[Ss]ixth ", "6th "), ("^[Ss]eventh ", "7th "), ("^[Ee]ighth ", "8th "), ("^[Nn]inth ", "9th "),
+    (" [Ff]irst ", " 1st "), (" [Ss]econd ", " 2nd "), (" [Tt]hird ", " 3rd "), (" [Ff]ourth ", " 4th "), (" [Ff]ifth ", " 5th "),
+    (" [Ss]ixth ", " 6th "), (" [Ss]eventh ", " 7th "), (" [Ee]ighth ", " 8th "), (" [Nn]inth ", " 9th "),
+    (" PAL/NTSC Selector$", ""), (r" 100% \(\+.*\)$", ""), (r" 100% \+[0-9]+$", ""), (r" \(\+[0-9]+\)$", ""), (r" \+[0-9]+$", ""), (r" \+\+$", ""),
+)
+#: Endings of previews, kinds that are cracktros, and kinds with a name of their own (fixed values).
+PREVIEWS = (" preview", " prev", " demo", " beta", " (preview)", " (demo)", " (beta)", " version)")
+CRACKTROS = ("cracktro", "crack intro", "import intro", "trainer")
+KINDS = {"": "", "compo": "Compo", "game": "Game"}
 FIRST_YEAR, LAST_YEAR = 1985, 2026
 
 
@@ -52,9 +73,23 @@ def strip_endings(text: Column, endings: Sequence[str]) -> Column:
     return F.aggregate(F.array(*[F.lit(e) for e in endings]), text, step)
 
 
+def replace_in_turn(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """All (pattern, replacement) rules applied one after the other, as one fold over the table of rules."""
+    table = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(r).alias("r")) for p, r in rules])
+    return F.aggregate(table, text, lambda acc, rule: F.regexp_replace(acc, rule["p"], rule["r"]))
+
+
 def normalize_publisher(name: Column, folded: bool = False) -> Column:
-    low = F.regexp_replace(F.trim(F.lower(name)), "^the ", "")
-    return leet(F.regexp_replace(strip_endings(fold(low) if folded else low, COMPANY_ENDINGS), "[^a-z0-9]", ""))
+    """Lower case, a leading `the ` and company endings off, letters and digits only, digits read as letters; null stays null."""
+    low = F.regexp_replace(F.lower(name), "^the ", "")
+
+    def step(acc: Column, pattern: Column) -> Column:
+        return F.coalesce(F.nullif(F.regexp_replace(acc, pattern, F.lit("")), F.lit("")), acc)
+
+    plain = F.trim(leet(F.aggregate(F.array(*[F.lit(e) for e in COMPANY_ENDINGS]), fold(low) if folded else low, step)))
+    for long, short in SHORT_NAMES.items():
+        plain = F.when(name == long, short).otherwise(plain)
+    return plain
 
 
 def normalize_album_simple(title: Column) -> Column:
@@ -62,13 +97,32 @@ def normalize_album_simple(title: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(title), r"\(.*\)", ""), "[^a-z0-9]", "")
 
 
-def normalize_album(title: Column, folded: bool = False) -> Column:
-    """Title up to ` - ` or `: `, without version, trainer count and trailing year, roman numbers as digits."""
-    head = F.regexp_replace(F.lower(title), r"( - |: ).*$", "")
-    cut = strip_endings(head, (r" \(?(19|20)[0-9]{2}\)?$", r" \+[0-9]+$", r" v[0-9][0-9.]*$", r" \(.*\)$"))
-    for roman, number in ((" iii$", " 3"), (" ii$", " 2"), (" iv$", " 4"), (" vi$", " 6"), (" v$", " 5")):
-        cut = F.regexp_replace(cut, roman, number)
-    return F.regexp_replace(fold(cut) if folded else cut, "[^a-z0-9.]", "")
+def normalize_album(title: Column, kind: Column | None = None, publishers: Column | None = None, year: Column | None = None, folded: bool = False) -> Column:
+    """A title's key: by kind without the ending of unfinished games or with `[cracktro]`, without its publishers' names in
+    front, cut at ` - ` and `: `, numbers and versions made alike, without the year it ends with; letters, digits and dots.
+
+    An empty title is empty, a null one null; kind null or empty, publishers null and year 0 change nothing.
+    """
+    low_kind = F.lower(F.coalesce(kind, F.lit(""))) if kind is not None else F.lit("")
+    low = F.lower(title)
+    unfinished = F.lit(None).cast("string")
+    for ending in reversed(UNFINISHED):
+        unfinished = F.when(low.endswith(ending), F.trim(F.substring(title, F.lit(1), F.length(title) - len(ending)))).otherwise(unfinished)
+    plain_game = (low_kind == "game") & ~low.startswith("game ")
+    text = F.when(low_kind == "cracktro", F.concat(F.trim(title), F.lit(" [cracktro]"))).otherwise(F.coalesce(F.when(plain_game, unfinished), title))
+    if publishers is not None:
+
+        def without(acc: Column, p: Column) -> Column:
+            mine = F.lower(F.substring(acc, F.lit(1), F.length(p) + 1)) == F.concat(F.lower(p), F.lit(" "))
+            return F.when(mine, F.substring(acc, F.length(p) + 2, F.lit(1 << 30))).otherwise(acc)
+
+        text = F.aggregate(F.coalesce(publishers, F.array().cast("array<string>")), text, without)
+    cut = F.regexp_replace(F.regexp_replace(text, " - .*", ""), ": .*", "")
+    plain = F.lower(replace_in_turn(cut, ALBUM_RULES))
+    if year is not None:
+        shown = F.concat(F.lit(" "), year.cast("string"))
+        plain = F.when((year > 0) & plain.endswith(shown), F.trim(F.substring(plain, F.lit(1), F.length(plain) - 5))).otherwise(plain)
+    return F.when(title == "", "").otherwise(F.trim(F.regexp_replace(fold(plain) if folded else plain, r"[^A-Za-z0-9.]", "")))
 
 
 def normalize_filename(path: Column) -> Column:
@@ -76,16 +130,30 @@ def normalize_filename(path: Column) -> Column:
 
 
 def name_variants(name: Column) -> Column:
-    """`First Last` and `F. Last` of a name of two words; others give themselves."""
-    parts = F.split(name, " ")
-    short = F.concat(F.substring(F.get(parts, F.lit(0)), 1, 1), F.lit(". "), F.get(parts, F.lit(1)))
-    return F.when(F.size(parts) == 2, F.array_distinct(F.array(name, short))).otherwise(F.array(name))
-
-
-def real_name(name: Column) -> Column:
-    """A full name without `Jr.` and middle names."""
-    bare = F.trim(F.regexp_replace(name, r",? Jr\.?$", ""))
-    return F.regexp_replace(bare, r"^(\S+) .* (\S+)$", "$1 $2")
+    """Short forms of a name of two or more words: `F. Last`, and of three or more also `First Last`; else none."""
+    parts = F.filter(F.split(name, " "), lambda p: p != "")
+    first, last = F.get(parts, F.lit(0)), F.get(parts, F.size(parts) - 1)
+    short = F.concat(F.substring(first, 1, 1), F.lit(". "), last)
+    none = F.array().cast("array<string>")
+    return F.when(F.size(parts) == 2, F.array(short)).when(F.size(parts) > 2, F.array(short, F.concat_ws(" ", first, last))).otherwise(none)
+
+
+def real_name(name: Column, handle: Column) -> Column:
+    """First and last part of a real name; null if the handle ends with the same part and isn't just these two.
+
+    `Jr.` at the end is passed over; names with `van`, `del` or a dotted part are kept whole.  A dotted name with the
+    handle's last part is null too.
+    """
+    words = F.split(name, " ")
+    parts = F.when(F.get(words, F.size(words) - 1) == "Jr.", F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(1)))).otherwise(words)
+    low = F.transform(parts, lambda p: F.lower(p))
+    of_handle = F.split(F.lower(handle), " ")
+    ends = F.concat_ws(" ", F.get(parts, F.lit(0)), F.get(parts, F.size(parts) - 1))
+    dotted = F.exists(parts, lambda p: p.contains("."))
+    same = F.get(of_handle, F.size(of_handle) - 1) == F.get(low, F.size(low) - 1)
+    refused = same & ((F.length(handle) != F.length(ends)) | dotted)
+    long = (F.size(parts) >= 3) & ~F.array_contains(low, "van") & ~F.array_contains(low, "del") & ~dotted
+    return F.when(refused, F.lit(None)).when(long, ends).otherwise(name)
 
 
 def rotate_article(title: Column) -> Column:
@@ -197,10 +265,20 @@ def postgres_array(text: Column) -> Column:
 
 
 def is_preview(title: Column) -> Column:
-    return F.lower(title).rlike(r"(\(|\b)(preview|demo)(\)|\b)")
+    """Whether a title ends like a preview; titles that begin with `game ` never do."""
+    low = F.lower(title)
+    ends = F.lit(False)
+    for ending in PREVIEWS:
+        ends = ends | low.endswith(ending)
+    return ends & ~low.startswith("game ")
 
 
-def normalize_type(kind: Column) -> Column:
-    low = F.lower(F.trim(kind))
-    return F.when(low.endswith("game"), "Game").when(low.endswith("compo"), "Compo").when(low.endswith("tool"), "Tool").otherwise(F.initcap(low))
+def is_cracktro(kind: Column) -> Column:
+    return F.lower(kind).isin(*CRACKTROS)
+
 
+def normalize_type(kind: Column) -> Column:
+    """``, `Compo`, `Game`, `Cracktro` or `Other`; null counts as unknown."""
+    low = F.lower(F.coalesce(kind, F.lit("")))
+    own = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[low]
+    return F.coalesce(own, F.when(is_cracktro(low), "Cracktro").otherwise("Other"))

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.storage import store
+
 
 def ranked(df: DataFrame, key: Sequence[str], score: Column, order: Sequence[Column]) -> DataFrame:
     """``df`` with ``rank``: 1 for each key's record of the highest score, ties by ``order`` (give a total order)."""
@@ -114,7 +116,7 @@ def first_prefix_rule(df: DataFrame, path: str, rules: DataFrame, prefix: str, o
     """
     rules = rules.withColumn("__key", F.lower(prefix)).withColumn("__len", F.length(prefix))
     lengths = [r["__len"] for r in rules.select("__len").distinct().collect()]
-    marked = df.withColumn("__row", F.monotonically_increasing_id())
+    marked = store(df.withColumn("__row", F.monotonically_increasing_id()), "marked")  # written, so numbers stay
     starts = F.array(*[F.struct(F.lit(n).alias("n"), F.substring(F.lower(path), 1, n).alias("s")) for n in sorted(lengths)])
     met = (
         marked.select("__row", F.lower(path).alias("__p"), F.explode(starts).alias("__at")).filter(F.length("__p") >= F.col("__at.n"))
@@ -148,3 +150,49 @@ def longest_entry(df: DataFrame, key: Sequence[str], prefer: Column, group: str,
     )
     best = per.groupBy(*key).agg(F.min(F.struct((-F.col("preferred")).alias("p"), (-F.col("numbers")).alias("m"), (-F.col("average")).alias("a"), F.col(group).alias("g"), "entries")).alias("b"))
     return best.select(*key, F.col("b.g").alias(group), (-F.col("b.m")).alias("numbers"), (-F.col("b.a")).alias("average"), F.col(f"b.entries.{length}").alias("lengths"))
+
+
+def without_prefixes(df: DataFrame, path: str, black: DataFrame, prefix: str) -> DataFrame:
+    """Rows whose path begins with none of the prefixes, whatever the case; a null path stays.
+
+    Prefixes are met by equality: a path is cut to each length that occurs among them (asked for first).
+    """
+    rows = black.select(F.lower(prefix).alias("__p")).filter("__p <> ''").distinct()
+    lengths = [r["n"] for r in rows.select(F.length("__p").alias("n")).distinct().orderBy("n").collect()]
+    if not lengths:
+        return df
+    cuts = F.array(*[F.substring(F.lower(path), 1, n) for n in lengths])
+    hit = df.select(F.col(path).alias("__path"), F.explode(cuts).alias("__cut")).join(rows, F.col("__cut") == F.col("__p"), "left_semi").select("__path").distinct()
+    return df.join(hit, F.col(path) == F.col("__path"), "left_anti")
+
+
+def flag_members(df: DataFrame, column: str, members: DataFrame, key: str, flag: str) -> DataFrame:
+    """``df`` with a boolean of whether ``column`` is among ``members``."""
+    known = members.select(F.col(key).alias("__m")).distinct().withColumn("__is", F.lit(True))
+    return df.join(known, F.col(column) == F.col("__m"), "left").withColumn(flag, F.coalesce("__is", F.lit(False))).drop("__m", "__is")
+
+
+def sorted_unique(parts: Sequence[DataFrame], key: str, place: str) -> DataFrame:
+    """Distinct rows of several tables of one column with their place from 0 in its order."""
+    from .ordered import rank_index
+
+    return rank_index(reduce(DataFrame.union, parts).distinct(), [key], place)
+
+
+def unique_translation(df: DataFrame, long: str, short: str) -> DataFrame:
+    """Distinct (long, short) keys; short keys that stand for several long ones are left out."""
+    pairs = df.select(long, short).distinct()
+    single = pairs.groupBy(short).agg(F.count("*").alias("__n")).filter("__n = 1").select(F.col(short).alias("__s"))
+    return pairs.join(single, F.col(short) == F.col("__s"), "left_semi")
+
+
+def joined_key(parts: Sequence[Column], separator: str = "\u0001") -> Column:
+    """One string to order by: parts as strings with a separator that is below all letters; null parts are empty."""
+    return F.concat_ws(separator, *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+
+
+def first_source(df: DataFrame, key: Sequence[str], source: str, value: str, order: Sequence[str]) -> DataFrame:
+    """(key, value) of the first source in ``order`` that has a value; other sources don't count."""
+    places = F.create_map(*[F.lit(x) for i, s in enumerate(order) for x in (s, i)])
+    rows = df.withColumn("__p", places[F.col(source)]).filter(F.col("__p").isNotNull() & F.col(value).isNotNull())
+    return rows.groupBy(*key).agg(F.min_by(value, "__p").alias(value))

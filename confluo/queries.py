@@ -176,21 +176,9 @@ def first_key_join(spark, sf_dir):
     return joins.first_key_join(part.withColumn("ws", F.split("p_name", " ")), "ws", known, "w", "brand_size").select("p_partkey", "brand_size")
 
 
-@query(sql="""WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS t FROM benchmark WHERE item_id < 5)
-SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS t FROM documents WHERE n_chars < 400) JOIN w USING (t) WHERE length(t) > 8""")
-def overlap_semi(spark, sf_dir):
-    def long_words(c):
-        return F.filter(F.split(c, " "), lambda w: F.length(w) > 8)
-
-    docs = _table(spark, sf_dir, "documents").filter("n_chars < 400").select("doc_id", long_words("text").alias("ws"))
-    items = _table(spark, sf_dir, "benchmark").filter("item_id < 5").select(long_words("text").alias("bs"))
-    return joins.overlap_semi(docs, "ws", items, "bs").select("doc_id").distinct()
-
-
 @query(sql="""WITH w AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS t FROM benchmark)
 SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS t FROM documents) JOIN w USING (t) WHERE length(t) > 8""")
-def overlap_semi_whole(spark, sf_dir):
-    """overlap_semi over all documents and all items."""
+def overlap_semi(spark, sf_dir):
     long_words = F.filter(F.split("text", " "), lambda w: F.length(w) > 8)
     docs = _table(spark, sf_dir, "documents").select("doc_id", long_words.alias("ws"))
     items = _table(spark, sf_dir, "benchmark").select(long_words.alias("bs"))
@@ -269,11 +257,35 @@ def path_year(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", text.path_year(path).alias("path_year"))
 
 
-@query(sql=r"""SELECT p_partkey, translate(regexp_replace(trim(regexp_replace(trim(regexp_replace(lower(n), '[ ,]+ltd\.?$', '')), '[ ,]+software$', '')), '[^a-z0-9]', '', 'g'), '013457', 'oieast') AS publisher
-FROM (SELECT p_partkey, p_brand || ' ' || p_type || ' Software Ltd.' AS n FROM part)""")
+def _in_turn(start: str, steps: list[str]) -> str:
+    """SQL that applies expressions of ``x`` one after the other."""
+    out = f"SELECT k, {start} AS x FROM n"
+    for step in steps:
+        out = f"SELECT k, {step} AS x FROM ({out})"
+    return out
+
+
+def _quoted(words: str) -> str:
+    return "'" + words.replace("'", "''") + "'"
+
+
+_FIRMS = [e.replace("\\.", ".").rstrip("$") for e in text.COMPANY_ENDINGS[:-1]]
+_FIRM_STEPS = [f"coalesce(nullif(regexp_replace(x, {_quoted(p)}, '', 'g'), ''), x)" for p in text.COMPANY_ENDINGS]
+
+
+@query(sql=f"""WITH n AS (SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 'The ' ELSE '' END || p_type || ' ' || p_brand || [{", ".join(_quoted(e.title()) for e in _FIRMS)}][p_partkey % {len(_FIRMS)} + 1]
+|| CASE p_partkey % 2 WHEN 0 THEN '' ELSE [{", ".join(_quoted(e) for e in _FIRMS)}][p_partkey * 7 % {len(_FIRMS)} + 1] END AS name FROM part UNION ALL SELECT -1, 'International Computer Entertainment' UNION ALL SELECT -2, ' Software')
+SELECT r.k AS p_partkey, CASE WHEN name = 'International Computer Entertainment' THEN 'ice' ELSE trim(translate(x, '013457', 'oieast')) END AS publisher
+FROM ({_in_turn("regexp_replace(lower(name), '^the ', '')", _FIRM_STEPS)}) r JOIN n ON n.k = r.k""")
 def normalize_publisher(spark, sf_dir):
-    name = F.concat("p_brand", F.lit(" "), "p_type", F.lit(" Software Ltd."))
-    return _table(spark, sf_dir, "part").select("p_partkey", text.normalize_publisher(name).alias("publisher"))
+    """All company endings, single and doubled, with the table of the SQL being the reference's."""
+    key, n = F.col("p_partkey"), len(_FIRMS)
+    first = F.get(F.array(*[F.lit(e.title()) for e in _FIRMS]), (key % n).cast("int"))
+    second = F.when(key % 2 == 0, "").otherwise(F.get(F.array(*[F.lit(e) for e in _FIRMS]), (key * 7 % n).cast("int")))
+    name = F.concat(F.when(key % 3 == 0, "The ").otherwise(""), "p_type", F.lit(" "), "p_brand", first, second)
+    rows = _table(spark, sf_dir, "part").select(key, name.alias("name"))
+    more = spark.createDataFrame([(-1, "International Computer Entertainment"), (-2, " Software")], "p_partkey long, name string")
+    return rows.union(more).select("p_partkey", text.normalize_publisher(F.col("name")).alias("publisher"))
 
 
 @query(sql=r"SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name || ' (' || p_type || ') II'), '\(.*\)', '', 'g'), '[^a-z0-9]', '', 'g') AS album FROM part")
@@ -281,9 +293,70 @@ def normalize_album(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", text.normalize_album_simple(F.concat("p_name", F.lit(" ("), "p_type", F.lit(") II"))).alias("album"))
 
 
-@query(sql=r"SELECT doc_id, translate(regexp_replace(strip_accents(replace(regexp_replace(lower(split_part(text, '.', 1)), ' \[[^\]]*\]$', ''), 'ß', 'ss')), '[^a-z0-9]', '', 'g'), '013457', 'oieast') AS author FROM documents")
+#: Ends of titles, one for each kind of rule.
+_ENDS = (
+    "", " (x)", " PC", " ST", " - Falcon", " - Jaguar", " CD32", " AGA", " preview", " v1.2", " V3", " #4", " 012", " 007", " 05", " 0", " 1", " I", " II", " iii", " IV", " v", " VI", " vii",
+    " VIII", " ix", " PAL/NTSC Selector", " 100% (+7)", " 100% +12", " (+5)", " +9", " ++", " - demo", " demo", " playable", " playable preview", " prev", " beta", " - final", ": part", " 1991",
+)
+_BEGINS = ("", "The ", "A ", "An ", "First ", "second ", "Third ", "fourth ", "Fifth ", "sixth ", "Seventh ", "eighth ", "Ninth ", "Game ", "Ocean ", "my second ", "big Ninth ")
+
+
+def _album_sql() -> str:
+    title = f"[{', '.join(map(_quoted, _BEGINS))}][p_partkey // {len(_ENDS)} % {len(_BEGINS)} + 1] || p_name || [{', '.join(map(_quoted, _ENDS))}][p_partkey % {len(_ENDS)} + 1]"
+    ends = " ".join(f"WHEN ends_with(lower(t), {_quoted(e)}) THEN trim(left(t, len(t) - {len(e)}))" for e in text.UNFINISHED)
+    start = f"CASE WHEN ty = 'Cracktro' THEN trim(t) || ' [cracktro]' WHEN ty = 'Game' AND NOT starts_with(lower(t), 'game ') THEN CASE {ends} ELSE t END ELSE t END"
+    steps = ["regexp_replace(x, '^(?i)ocean ', '')", "regexp_replace(x, ' - .*', '', 'g')", "regexp_replace(x, ': .*', '', 'g')"]
+    steps += [f"regexp_replace(x, {_quoted(p)}, {_quoted(r.replace('$1', chr(92) + '1'))}, 'g')" for p, r in text.ALBUM_RULES]
+    steps += ["lower(x)", "CASE WHEN ends_with(x, ' 1991') THEN trim(left(x, len(x) - 5)) ELSE x END", "trim(regexp_replace(x, '[^A-Za-z0-9.]', '', 'g'))"]
+    return f"""WITH n AS (SELECT p_partkey AS k, {title} AS t, ['Game', 'Cracktro', 'Demo', ''][p_partkey % 4 + 1] AS ty FROM part)
+SELECT k AS p_partkey, x AS album FROM ({_in_turn(start, steps)})"""
+
+
+@query(sql=_album_sql())
+def normalize_album_full(spark, sf_dir):
+    """All rules of album titles, by type, publishers and year."""
+    key = F.col("p_partkey")
+    begin = F.get(F.array(*[F.lit(b) for b in _BEGINS]), (F.floor(key / len(_ENDS)) % len(_BEGINS)).cast("int"))
+    end = F.get(F.array(*[F.lit(e) for e in _ENDS]), (key % len(_ENDS)).cast("int"))
+    kind = F.get(F.array(*[F.lit(t) for t in ("Game", "Cracktro", "Demo", "")]), (key % 4).cast("int"))
+    title = F.concat(begin, "p_name", end)
+    return _table(spark, sf_dir, "part").select(key, text.normalize_album(title, kind, F.array(F.lit("Ocean")), F.lit(1991)).alias("album"))
+
+
+_KINDS = ("", "Compo", "game", "CRACKTRO", "Crack Intro", "import intro", "Trainer", "Demo", "fix/patch intro", "Tool")
+
+
+@query(sql=f"""WITH n AS (SELECT p_partkey, CASE p_partkey // 50 % 2 WHEN 1 THEN 'Game ' ELSE '' END || p_name || [{", ".join(map(_quoted, [*text.PREVIEWS, "", " demos", "preview"]))}][p_partkey % {len(text.PREVIEWS) + 3} + 1] AS t,
+[{", ".join(map(_quoted, _KINDS))}][p_partkey % {len(_KINDS)} + 1] AS k FROM part)
+SELECT p_partkey, NOT starts_with(lower(t), 'game ') AND regexp_matches(lower(t), '( preview| prev| demo| beta| \\(preview\\)| \\(demo\\)| \\(beta\\)| version\\))$') AS preview,
+CASE lower(k) WHEN '' THEN '' WHEN 'compo' THEN 'Compo' WHEN 'game' THEN 'Game' ELSE CASE WHEN lower(k) IN ('cracktro', 'crack intro', 'import intro', 'trainer') THEN 'Cracktro' ELSE 'Other' END END AS kind FROM n""")
+def previews_and_kinds(spark, sf_dir):
+    """Whether a title is a preview's, and the kind of a type."""
+    key, ends = F.col("p_partkey"), [*text.PREVIEWS, "", " demos", "preview"]
+    title = F.concat(F.when(F.floor(key / 50) % 2 == 1, "Game ").otherwise(""), "p_name", F.get(F.array(*[F.lit(e) for e in ends]), (key % len(ends)).cast("int")))
+    kind = F.get(F.array(*[F.lit(k) for k in _KINDS]), (key % len(_KINDS)).cast("int"))
+    return _table(spark, sf_dir, "part").select(key, text.is_preview(title).alias("preview"), text.normalize_type(kind).alias("kind"))
+
+
+@query(sql=r"""WITH n AS (SELECT c_custkey, c_mktsegment || CASE c_custkey % 3 WHEN 0 THEN ' de' WHEN 1 THEN ' van' ELSE '' END || ' ' || n_name || CASE WHEN c_custkey % 5 = 0 THEN ' Jr.' ELSE '' END AS name,
+CASE c_custkey % 4 WHEN 0 THEN n_name WHEN 1 THEN 'DJ ' || n_name WHEN 2 THEN c_mktsegment || ' ' || n_name ELSE 'Zap' END AS handle FROM customer JOIN nation ON n_nationkey = c_nationkey),
+q AS (SELECT *, CASE WHEN ends_with(name, ' Jr.') THEN left(name, len(name) - 4) ELSE name END AS bare FROM n),
+z AS (SELECT *, string_split(bare, ' ') AS w, string_split(name, ' ') AS v FROM q)
+SELECT c_custkey, CASE WHEN lower(string_split(handle, ' ')[-1]) = lower(w[-1]) AND len(handle) <> len(w[1] || ' ' || w[-1]) THEN NULL WHEN len(w) >= 3 AND NOT list_contains(w, 'van') THEN w[1] || ' ' || w[-1] ELSE name END AS real_name,
+CASE WHEN len(v) = 2 THEN left(v[1], 1) || '. ' || v[2] ELSE left(v[1], 1) || '. ' || v[-1] || '~' || v[1] || ' ' || v[-1] END AS variants FROM z""")
+def real_names(spark, sf_dir):
+    """Real names beside their handles, and short forms of names."""
+    key = F.col("c_custkey")
+    middle = F.when(key % 3 == 0, " de").when(key % 3 == 1, " van").otherwise("")
+    name = F.concat("c_mktsegment", middle, F.lit(" "), "n_name", F.when(key % 5 == 0, " Jr.").otherwise(""))
+    handle = F.when(key % 4 == 0, F.col("n_name")).when(key % 4 == 1, F.concat(F.lit("DJ "), "n_name")).when(key % 4 == 2, F.concat_ws(" ", "c_mktsegment", "n_name")).otherwise("Zap")
+    rows = _table(spark, sf_dir, "customer").join(_table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select(key, name.alias("n"), handle.alias("h"))
+    return rows.select("c_custkey", text.real_name(F.col("n"), F.col("h")).alias("real_name"), F.array_join(text.name_variants(F.col("n")), "~").alias("variants"))
+
+
+@query(sql=r"SELECT doc_id, translate(regexp_replace(strip_accents(replace(regexp_replace(lower(text), ' \[2 musicians\]$', ''), 'ß', 'ss')), '[^a-z0-9]', '', 'g'), '013457', 'oieast') AS author FROM documents")
 def normalize_author(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", text.normalize_author(F.substring_index("text", ".", 1)).alias("author"))
+    return _table(spark, sf_dir, "documents").select("doc_id", text.normalize_author(F.col("text")).alias("author"))
 
 
 @query(sql=r"SELECT p_partkey, 'The ' || p_name || ' (' || p_brand || ')' AS title, p_name || ' (' || p_brand || ')' AS bare FROM part")
@@ -342,12 +415,23 @@ def rank_index(spark, sf_dir):
     return ordered.rank_index(_table(spark, sf_dir, "customer").select("c_name", "c_custkey"), ["c_name", "c_custkey"]).select("c_custkey", "idx")
 
 
-@query(sql="""SELECT conv_id, min(turn) AS minsubsong, string_agg(CASE role WHEN 'user' THEN length(text)::VARCHAR ELSE length(text)::VARCHAR || ',' || role END, ' ' ORDER BY turn, length(text), role) AS line FROM conversations GROUP BY 1""")
+_DIGIT = "chr((45 + ((steps >> {0}) & 63))::INT)"
+
+
+@query(sql=f"""WITH t AS (SELECT conv_id, turn, CASE role WHEN 'user' THEN 'player' WHEN 'assistant' THEN 'loop+volume' ELSE 'silence' END AS e, length(text) // 300 * 300 AS ms, turn % 3 = 2 AS dup FROM conversations),
+q AS (SELECT *, CASE WHEN ms > 0 AND ms < 20 THEN 1 ELSE (ms + 10) // 20 END AS steps FROM t),
+c AS (SELECT *, CASE WHEN steps = 0 THEN '-' ELSE ltrim({" || ".join(_DIGIT.format(k) for k in (18, 12, 6, 0))}, '-') END || CASE e WHEN 'player' THEN '' WHEN 'loop+volume' THEN ',L' ELSE ',s' END AS told FROM q),
+l AS (SELECT *, lag(told) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM c)
+SELECT conv_id, min(turn) AS minsubsong, string_agg(CASE WHEN told = before THEN CASE WHEN dup THEN '!' ELSE '' END ELSE told || CASE WHEN dup THEN ',!' ELSE '' END END, ' ' ORDER BY turn) AS line,
+string_agg((steps * 20)::VARCHAR || e || dup::VARCHAR, ' ' ORDER BY turn) AS back FROM l GROUP BY conv_id""")
 def subsong_array(spark, sf_dir):
-    turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("hash"), F.col("turn").alias("subsong"), F.length("text").alias("length"), F.when(F.col("role") == "user", "player").otherwise(F.col("role")).alias("end"))
-    entry = F.when(F.col("end") == "player", F.col("length").cast("string")).otherwise(F.concat_ws(",", F.col("length").cast("string"), "end"))
-    kept = turns.groupBy("hash").agg(F.min("subsong").alias("minsubsong"), F.array_sort(F.collect_list(F.struct("subsong", "length", "end", entry.alias("e")))).alias("es"))
-    return kept.select(F.col("hash").alias("conv_id"), "minsubsong", F.array_join("es.e", " ").alias("line"))
+    """Lengths of a file's parts as one compact line, and read back from it."""
+    end = F.when(F.col("role") == "user", "player").when(F.col("role") == "assistant", "loop+volume").otherwise("silence")
+    part = F.struct("turn", (F.floor(F.length("text") / 300) * 300).cast("long").alias("length"), end.alias("end"), (F.col("turn") % 3 == 2).alias("duplicate"))
+    kept = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min("turn").alias("minsubsong"), F.array_sort(F.collect_list(part)).alias("parts"))
+    lines = kept.select("conv_id", "minsubsong", codec.lengths_line(F.col("parts")).alias("line"))
+    told = F.transform(codec.parse_lengths(F.col("line")), lambda e: F.concat(e["length"].cast("string"), e["end"], e["duplicate"].cast("string")))
+    return lines.withColumn("back", F.array_join(told, " "))
 
 
 @query(sql="""WITH g AS (SELECT conv_id, role, max((role = 'user')::INT) AS p, count(DISTINCT turn) AS m, floor(sum(length(text)) / count(*))::BIGINT AS a FROM conversations GROUP BY ALL)
@@ -366,14 +450,14 @@ def _signs(spark, sf_dir):
 _BITS = "(SELECT vec_id, label, list_transform(range(1, 65), lambda i: (embedding[i] > 0)::INT) AS bits FROM embeddings)"
 
 
-@query(sql=f"""WITH e AS {_BITS}, p AS (SELECT bits FROM e WHERE vec_id = 0)
-SELECT vec_id, 1 - (SELECT sum(abs(e.bits[i] - p.bits[i])) FROM range(1, 65) t(i)) / 64.0::DOUBLE AS score FROM e, p WHERE vec_id <> 0 ORDER BY score DESC, vec_id LIMIT 20""")
+@query(sql=f"""WITH e AS {_BITS}, s AS (SELECT p.vec_id AS probe, e.vec_id, 1 - (SELECT sum(abs(e.bits[i] - p.bits[i])) FROM range(1, 65) t(i)) / 64.0::DOUBLE AS score FROM e, e p WHERE p.vec_id % 50 = 0 AND e.vec_id <> p.vec_id)
+SELECT probe, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY probe ORDER BY score DESC, vec_id) AS rn FROM s) WHERE rn <= 20""")
 def hamming_topk(spark, sf_dir):
-    signs = _signs(spark, sf_dir)
-    probe = signs.filter("vec_id = 0").select("words").first()
-    known = F.array(*[F.lit(w).cast("long") for w in (probe["words"] if probe else [0, 0])])
-    scored = signs.filter("vec_id <> 0").select("vec_id", hamming_similarity(F.col("words"), known, 64).alias("score"))
-    return ordered.top_k(scored, F.col("score"), [F.col("vec_id")], 20)
+    """The 20 nearest rows of every row whose id is divisible by 50, among all rows."""
+    signs = _signs(spark, sf_dir).select("vec_id", "words")
+    probes = signs.filter("vec_id % 50 = 0").toDF("probe", "wanted")
+    scored = signs.join(probes, F.col("vec_id") != F.col("probe")).select("probe", "vec_id", hamming_similarity(F.col("words"), F.col("wanted"), 64).alias("score"))
+    return records.ranked(scored, ["probe"], F.col("score"), [F.col("vec_id")]).filter("rank <= 20").drop("rank")
 
 
 @query(sql=f"""WITH e AS {_BITS}, x AS (SELECT label, i, sum(bits[i] * 2 - 1) AS s FROM e, range(1, 65) t(i) GROUP BY ALL)
@@ -385,38 +469,50 @@ def simhash_block(spark, sf_dir):
     return votes.groupBy("label").agg(F.array_join(F.transform(ordered_bits, lambda x: x["b"]), "").alias("simhash"))
 
 
-@query(sql=f"""WITH e AS {_BITS}, k AS (SELECT *, list_sum(bits[1:8]) AS block FROM e)
-SELECT a.vec_id AS a_id, b.vec_id AS b_id FROM k a JOIN k b ON a.label = b.label AND a.block = b.block AND a.vec_id < b.vec_id
+@query(sql=f"""WITH e AS {_BITS} SELECT a.vec_id AS a_id, b.vec_id AS b_id FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id
 WHERE (SELECT sum(abs(a.bits[i] - b.bits[i])) FROM range(1, 65) t(i)) <= 22""")
 def fingerprint_band_match(spark, sf_dir):
-    block = F.aggregate(F.slice("embedding", 1, 8), F.lit(0), lambda n, x: n + (x > 0).cast("int"))
-    signs = _signs(spark, sf_dir).join(_table(spark, sf_dir, "embeddings").select("vec_id", block.alias("block")), "vec_id")
-    a = signs.select("label", "block", F.col("vec_id").alias("a_id"), F.col("words").alias("wa"))
-    b = signs.select("label", "block", F.col("vec_id").alias("b_id"), F.col("words").alias("wb"))
-    near = hamming_similarity(F.col("wa"), F.col("wb"), 64) >= 1 - 22 / 64
-    return a.join(b, ["label", "block"]).filter((F.col("a_id") < F.col("b_id")) & near).select("a_id", "b_id")
+    """Pairs of a label within 22 of 64 bits: a third of the bits apart leaves no key that loses no pair, so a label's rows meet in blocks."""
+    near = hamming_similarity(F.col("a.words"), F.col("b.words"), 64) >= 1 - 22 / 64
+    pairs = joins.pairs_in_blocks(_signs(spark, sf_dir), "label", "vec_id", near)
+    return pairs.select(F.col("a.vec_id").alias("a_id"), F.col("b.vec_id").alias("b_id"))
 
 
-@query(sql=f"""WITH e AS {_BITS} SELECT a.vec_id AS a_id, b.vec_id AS b_id FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id
-WHERE (SELECT sum(abs(a.bits[i] - b.bits[i])) FROM range(1, 65) t(i)) <= 22""")
-def fingerprint_match_whole(spark, sf_dir):
-    """fingerprint_band_match without blocks: at 22 of 64 bits no cheaper key loses no pair, so all pairs of a label are compared."""
-    signs = _signs(spark, sf_dir)
-    a = signs.select("label", F.col("vec_id").alias("a_id"), F.col("words").alias("wa"))
-    b = signs.select("label", F.col("vec_id").alias("b_id"), F.col("words").alias("wb"))
-    near = hamming_similarity(F.col("wa"), F.col("wb"), 64) >= 1 - 22 / 64
-    return a.join(b, ["label"]).filter((F.col("a_id") < F.col("b_id")) & near).select("a_id", "b_id")
+_TEXT_COMPONENTS = """e AS (SELECT DISTINCT doc_id, md5(l) AS k FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE length(l) > 40
+UNION SELECT doc_id, md5(text) FROM documents WHERE text IS NOT NULL), s AS (SELECT k, min(doc_id) AS m FROM e GROUP BY k), g AS (SELECT DISTINCT e.doc_id AS a, s.m AS b FROM e JOIN s USING (k) WHERE e.doc_id <> s.m),
+u AS (SELECT a, b FROM g UNION SELECT b, a FROM g), r(x, y) AS (SELECT DISTINCT a, a FROM u UNION SELECT u.a, r.y FROM u JOIN r ON u.b = r.x),
+c AS (SELECT doc_id, coalesce((SELECT min(y) FROM r WHERE x = doc_id), doc_id) AS component FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL))"""
 
 
-_LINES = """(SELECT DISTINCT doc_id, md5(l) AS k FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE length(l) > 40)"""
+def _text_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, component) of every document with an id: documents are joined that share their whole text or a line of over 40 characters.
+
+    Shorter lines (headings, braces, blanks) make no link, as unrelated documents share them.  Empty texts are equal to each
+    other; a null text equals no other.
+    """
+    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("l")).filter("length(l) > 40")
+    whole = docs.filter("text is not null").select("doc_id", F.col("text").alias("l"))
+    keys = lines.union(whole).select("doc_id", F.md5(F.col("l").cast("binary")).alias("k"))
+    found = graph.shared_key_components(keys, "doc_id", "k")
+    ids = docs.select("doc_id").filter("doc_id is not null").distinct()
+    return ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
 
 
-@query(sql=f"""WITH RECURSIVE e AS {_LINES}, s AS (SELECT k, min(doc_id) AS m FROM e GROUP BY k), g AS (SELECT DISTINCT e.doc_id AS a, s.m AS b FROM e JOIN s USING (k) WHERE e.doc_id <> s.m),
-u AS (SELECT a, b FROM g UNION SELECT b, a FROM g), r(x, y) AS (SELECT DISTINCT a, a FROM u UNION SELECT u.a, r.y FROM u JOIN r ON u.b = r.x)
-SELECT doc_id, coalesce((SELECT min(y) FROM r WHERE x = doc_id), doc_id) AS component FROM (SELECT DISTINCT doc_id FROM e)""")
+@query(sql=f"WITH RECURSIVE {_TEXT_COMPONENTS} SELECT doc_id, component FROM c")
 def components(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("l"))
-    return graph.shared_key_components(docs.filter("length(l) > 40").select("doc_id", F.md5(F.col("l").cast("binary")).alias("k")), "doc_id", "k")
+    """Components of documents by shared texts and long lines, a row for each document."""
+    return _text_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(sql=f"""WITH RECURSIVE {_TEXT_COMPONENTS}, m AS (SELECT component AS cluster, doc_id, lang, row_number() OVER (PARTITION BY component ORDER BY n_chars DESC, doc_id, lang NULLS FIRST) AS rn, count(*) OVER (PARTITION BY component) AS n FROM documents JOIN c USING (doc_id))
+SELECT cluster, n AS n_members, doc_id AS best_doc_id, lang AS best_lang FROM m WHERE rn = 1""")
+def duplicate_clusters(spark, sf_dir):
+    """Documents joined by an equal text or a shared long line, with the longest document of each cluster."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text")
+    found = _text_components(docs.select("doc_id", "text"))
+    members = docs.select("doc_id", "lang", "n_chars").join(found, "doc_id", "left").withColumn("cluster", F.coalesce("component", "doc_id"))
+    size = members.groupBy("cluster").agg(F.count("*").alias("n_members"), F.min(F.struct((-F.col("n_chars")).alias("c"), "doc_id", "lang")).alias("best"))
+    return size.select("cluster", "n_members", F.col("best.doc_id").alias("best_doc_id"), F.col("best.lang").alias("best_lang"))
 
 
 @query(sql="""WITH s AS (SELECT DISTINCT conv_id AS w, role AS part FROM conversations), m AS (SELECT DISTINCT text AS t, conv_id, turn FROM conversations)
@@ -468,42 +564,14 @@ def quantised_lengths(spark, sf_dir):
     return _table(spark, sf_dir, "orders").select("o_orderkey", codec.quantise(F.floor("o_totalprice")).alias("steps"))
 
 
-@query(sql="""WITH k AS (SELECT p_partkey, lower(p_brand || '-l-' || (p_size * 4 + d)::VARCHAR) AS tag FROM part, (VALUES (-1), (0), (1)) v(d))
-SELECT tag, count(*) AS n FROM k GROUP BY tag HAVING count(*) > 1""")
+@query(sql=r"""WITH d AS (SELECT doc_id, md5(text) AS h, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT * 11025 AS b FROM documents), k AS (SELECT doc_id, 'p-h-' || h AS tag FROM d
+UNION ALL SELECT doc_id, unnest(list_distinct(['p-l-' || ((b + 5512) // 22050)::VARCHAR, 'p-l-' || ((b - 5512) // 22050)::VARCHAR])) FROM d WHERE b > 198450)
+SELECT tag, count(*) AS n, min(doc_id) AS first FROM k GROUP BY tag""")
 def blocking_tags(spark, sf_dir):
-    from .functions.fingerprint import block_tags
-
-    tags = _table(spark, sf_dir, "part").select(F.explode(block_tags(F.lower("p_brand"), F.col("p_size"), F.lit("x"))).alias("tag"))
-    return tags.filter("tag not like '%-h-%'").groupBy("tag").agg(F.count("*").alias("n")).filter("n > 1")
-
-
-def _text_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, component) of every document with an id: documents are joined that share their whole text or a line of over 40 characters.
-
-    Shorter lines (headings, braces, blanks) make no link, as unrelated documents share them.  Empty texts are equal to each
-    other; a null text equals no other.
-    """
-    lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("l")).filter("length(l) > 40")
-    whole = docs.filter("text is not null").select("doc_id", F.col("text").alias("l"))
-    keys = lines.union(whole).select("doc_id", F.md5(F.col("l").cast("binary")).alias("k"))
-    found = graph.shared_key_components(keys, "doc_id", "k")
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct()
-    return ids.join(found, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
-
-
-@query()
-def components_whole(spark, sf_dir):
-    """components with a row for each document, also for those without a long line."""
-    return _text_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-
-
-@query()
-def duplicate_clusters(spark, sf_dir):
-    """Exact and near duplicates of documents with the best document of each cluster."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text")
-    found = _text_components(docs.select("doc_id", "text"))
-    members = docs.select("doc_id", "lang", "n_chars").join(found, "doc_id", "left").withColumn("cluster", F.coalesce("component", "doc_id"))
-    size = members.groupBy("cluster").agg(F.count("*").alias("n_members"), F.min(F.struct((-F.col("n_chars")).alias("c"), "doc_id", "lang")).alias("best"))
-    return size.select("cluster", "n_members", F.col("best.doc_id").alias("best_doc_id"), F.col("best.lang").alias("best_lang"))
-
+    """Tags by hash and by whole seconds a quarter second either way, of recordings without a grouped hash."""
+    from .operators.recordings import tags_of
 
+    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    every, _ = tags_of(F.lit("p"), words * 11025, F.md5(F.col("text").cast("binary")), F.lit(None).cast("int"))
+    tags = _table(spark, sf_dir, "documents").select("doc_id", F.explode(every).alias("tag"))
+    return tags.groupBy("tag").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
