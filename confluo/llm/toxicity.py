@@ -23,8 +23,8 @@ from ..plans.storage import store
 from .textio import add_columns, texts_of
 
 MAX_TRAIN_ROWS = 20_000
-#: Learned pieces at most; documents that must have one; odds at least; shortest and longest beginning of a word.
-MAX_PIECES, LEAST_DOCS, LEAST_ODDS, BEGIN, END = 5_000, 5, 4.0, 5, 9
+#: Documents that must have a learned piece; odds at least; shortest and longest beginning of a word.
+LEAST_DOCS, LEAST_ODDS, BEGIN, END = 5, 4.0, 5, 9
 THRESHOLD = 0.3
 TREES, DEPTH, RATE, BINS, LEAF = 60, 3, 0.2, 32, 5
 #: Words apart at which an insult counts as near a second person.
@@ -47,7 +47,12 @@ LEXICON = frozenset(
 SECOND = frozenset("you your yours yourself youre u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre tú ti usted ustedes vosotros".split())
 _LEET = str.maketrans("0134578@$!|+", "oleastbasiit")
 _EDGE = ".,;:!?\"'()[]{}<>*#&%$-_/\\|~`"
+#: Signs around a word that never stand for its letters.
+_AROUND = ".,;:!?\"'()[]{}<>"
 _MASKED = re.compile(r"[*#.\-_]")
+#: Single letters parted by blanks, and two capitals side by side (no word is shouted without).
+_SPACED = re.compile(r"(?<!\S)[^\W\d_](?:\s[^\W\d_]){2,}(?!\S)")
+_CAPITALS = re.compile(r"[A-Z\u00c0-\u00d6\u00d8-\u00de]{2}")
 _SIGNS = re.compile(r"[!?]")
 FEATURES = (
     "words", "insults", "insult_rate", "distinct_insults", "masked", "masked_rate", "second_rate", "near", "near_rate", "capitals",
@@ -61,7 +66,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _masked_insult(token: str) -> bool:
-    """An insult with letters replaced by look-alikes, or with signs or blanks put between its letters."""
+    """An insult with letters replaced by look-alikes or stars, or with signs put between its letters."""
     if token.isalpha() or len(token) < 3:
         return False
     plain = token.translate(_LEET)
@@ -82,7 +87,8 @@ class Classes(dict):
         self.weights = np.array([0.0] * 5 + list(pieces.values()))
 
     def __missing__(self, token: str) -> int:
-        found = self._find(token.strip(_EDGE))
+        outer = token.strip(_AROUND)
+        found = 3 if outer != outer.strip(_EDGE) and _masked_insult(outer) else self._find(token.strip(_EDGE))
         if len(self) >= KEPT:
             self.clear()
         self[token] = found
@@ -119,7 +125,7 @@ def classes(pieces: dict[str, float]) -> Classes:
 
 
 def features(text: str, known: Classes) -> list[float]:
-    """The dense features of a whole text; an empty text has zeros."""
+    """The dense features of a whole text; an empty text has zeros.  Letters parted by blanks that spell an insult count as masked."""
     low = text.lower().split()
     n = len(low)
     if not n:
@@ -131,7 +137,7 @@ def features(text: str, known: Classes) -> list[float]:
     total = float(weights.sum())
     insults, second, masked = int(counts[1]), int(counts[2]), int(counts[3])
     distinct = near = 0
-    if insults + masked:
+    if insults + masked:  # spelt ones have no place of their own
         at = np.flatnonzero((codes == 1) | (codes == 3))
         distinct = len({low[i].strip(_EDGE) for i in at.tolist()})
         if second:
@@ -142,7 +148,8 @@ def features(text: str, known: Classes) -> list[float]:
             near = int(((np.abs(left) <= NEAR) | (np.abs(right) <= NEAR)).sum())
     letters = len(text)
     upper = sum(map(str.isupper, text)) if not text.isascii() else len(text.encode().translate(None, _NOT_UPPER))
-    shouted = sum(1 for w in text.split() if len(w) > 2 and w.isupper()) if upper > 2 * n else 0
+    shouted = sum(1 for w in text.split() if len(w) > 2 and w.isupper()) if _CAPITALS.search(text) else 0
+    masked += sum("".join(m.split()) in LEXICON for m in _SPACED.findall(text.lower()))
     signs = len(_SIGNS.findall(text))
     runs = text.count("!!") + text.count("??") + text.count("!?") if signs else 0
     return [
@@ -307,7 +314,7 @@ def learn_pieces(train: DataFrame) -> dict[str, float]:
     best = (
         counted.groupBy("piece").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         .filter(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds).filter(F.col("odds") >= LEAST_ODDS)
-        .orderBy(F.desc(F.log("odds") * F.col("toxic")), "piece").limit(MAX_PIECES)
+        .orderBy(F.desc(F.log("odds") * F.col("toxic")), "piece")
     )
     return {r["piece"]: float(np.log(r["odds"])) for r in best.collect()}
 
@@ -347,7 +354,8 @@ def score_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted) of every row of ``docs``; scores depend on the texts alone.
 
-    Null and empty texts get the score of a text without words; null ids are scored like any other.
+    Null and empty texts get the score of a text without words; null ids are scored like any other.  Equal texts score
+    alike, repeated rows are kept, an empty table gives an empty table, and without labels the score is 0.
     """
     narrow = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("__cf_body"))
     scored = score_texts(narrow, learn(docs, labels, id_col, text_col), "__cf_body")
