@@ -29,6 +29,8 @@ from .textio import add_columns
 SEED = 42
 SHINGLE_WORDS = 4
 MAX_BITS = 4
+#: Groups of several rows up to which the row that stays of each is broadcast (some 50 bytes a group).
+BROADCAST_GROUPS = 200_000
 _LOW = 0x5555555555555555
 
 
@@ -110,20 +112,17 @@ def linked_fingerprints(prints: DataFrame, max_bits: int = MAX_BITS, shared_grou
         *[
             F.struct(
                 F.lit(sum(1 << g for g in grid)).alias("grid"),
+                F.lit((2 << max(grid)) - 1).alias("upto"),
                 F.col("unary").bitwiseAND(_lit(sum(masks[g] for g in grid))).alias("cell"),
             )
             for grid in grids
         ]
     )
-    placed = embedded.select("fp", "unary", F.explode(cells).alias("at")).select("fp", "unary", "at.grid", "at.cell")
+    placed = embedded.select("fp", "unary", F.explode(cells).alias("at")).select("fp", "unary", "at.grid", "at.upto", "at.cell")
     a, b = placed.alias("a"), placed.alias("b")
     apart = F.col("a.unary").bitwiseXOR(F.col("b.unary"))
-    first, rest = F.lit(0), sum(
-        (F.when(apart.bitwiseAND(_lit(m)) == 0, F.lit(1 << g)).otherwise(F.lit(0)) for g, m in enumerate(masks)), F.lit(0)
-    )
-    for _ in range(shared_groups):  # the lowest groups that agree name the one grid where this pair counts
-        lowest = rest.bitwiseAND(-rest)
-        first, rest = first.bitwiseOR(lowest), rest.bitwiseXOR(lowest)
+    agree = sum((F.when(apart.bitwiseAND(_lit(m)) == 0, F.lit(1 << g)).otherwise(F.lit(0)) for g, m in enumerate(masks)), F.lit(0))
+    first = agree.bitwiseAND(F.col("a.upto"))  # the lowest groups that agree name the one grid where this pair counts
     return a.join(
         b,
         (F.col("a.grid") == F.col("b.grid"))
@@ -186,8 +185,8 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     placed = prints.join(roots, "fingerprint_bits").groupBy("root", "id", "hash").agg(F.count("*").alias("n"))
     placed = store(placed.withColumn("late", F.col("id").isNull()), "placed")
     first = F.struct("late", "id", "hash")
-    best = placed.groupBy("root").agg(F.min(first).alias("best"))
-    others = placed.join(best, "root")
+    best = store(placed.groupBy("root").agg(F.min(first).alias("best"), F.count("*").alias("rows")).filter("rows > 1").drop("rows"), "best")
+    others = placed.join(F.broadcast(best) if best.count() <= BROADCAST_GROUPS else best, "root")
     gone = store(others.filter(first != F.col("best")).select(F.col("id").alias("__cf_id"), F.col("hash").alias("__cf_hash")), "gone")
     again = store(placed.filter("n > 1").select(F.col("id").alias("__cf_id"), F.col("hash").alias("__cf_hash")), "again")
     same = own.eqNullSafe(F.col("__cf_id")) & (F.xxhash64(body) == F.col("__cf_hash"))
