@@ -25,7 +25,7 @@ SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 BANDS, ROWS = 20, 5
 #: Once all pairs in the buckets left are at most so many times the band keys of all documents, they are compared at once.
-PAIRS_PER_KEY = 1
+PAIRS_PER_KEY = 0.1
 _rng = np.random.default_rng(20)
 _FLIP, _ODD = (_rng.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64) for _ in range(2))
 _ODD |= np.uint64(1)
