@@ -20,27 +20,43 @@ MAX_COVERAGE = 0.1
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go, row by row: null and empty texts are judged like a text without words.
+
+    Rows with null or repeated ids are judged by their own texts; an empty table stays empty.
+    """
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash group the document with the smallest id stays; of what is left, near copies by five-word Jaccard go too."""
+    """Of each SimHash group the row with the smallest id stays; of what is left, near copies by five-word Jaccard go too.
+
+    Rows are judged one by one, whatever id they share; null ids come last, then the hash of the text decides.  Null, empty
+    and wordless texts are one group.  An empty table stays empty.
+    """
     return drop_near_copies(store(keep_one_per_group(docs), "unlinked"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark passages are cut out; documents that are benchmark to a tenth or more go."""
+    """Benchmark passages are cut out; documents that are benchmark to over a tenth of their words go.
+
+    Null texts stay null; ids, other columns and repeated rows are kept; an empty table or benchmark changes nothing.
+    """
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), max_coverage=MAX_COVERAGE)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out by the rates of their sources."""
+    """Documents repeated or left out by the rates of their sources; null is a source of its own.
+
+    Rows with a null or repeated id draw by their texts.  An empty table stays empty.
+    """
     return mix(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids written in the binary format and read back: doc_id, start, n_tokens, ids_crc32."""
+    """Ids written in the binary format and read back: doc_id, start, n_tokens, ids_crc32, a row for each row of ``docs``.
+
+    Null texts are the end id alone; null ids come first; an empty table gives an empty table.
+    """
     path = new_path(spark, "tokens")
     write_token_files(docs, path, tokenizer_path())
     return read_token_files(spark, path)
@@ -54,7 +70,7 @@ STAGES = [
     ("token_files", token_files),
 ]
 
-#: Tokenizer, trees and hashes are beyond SQL; tests/llm hold each stage against a plain version instead.
+#: Tokenizer, trees and hashes are beyond SQL; tests/llm hold the stages against plain versions of their operators and on planted cases instead.
 ORACLE_SQL = None
 
 
