@@ -278,3 +278,41 @@ def blank_years_after(df: DataFrame, year: str, key: Sequence[str], earlier: Dat
     after = F.exists("__years", lambda o: (o >= y) & (o <= y + 1))
     wrong = (y > 0) & before & ~after & (y - F.array_max("__years") <= 1)
     return df.join(known, list(key), "left").select(*[F.when(F.coalesce(wrong, F.lit(False)), 0).otherwise(y).alias(c) if c == year else F.col(c) for c in df.columns])
+
+
+def with_aliases(df: DataFrame, name: str, aliases: DataFrame) -> DataFrame:
+    """Distinct rows of ``df`` with their own ``name`` and each alias of it; ``aliases`` holds (name, alias)."""
+    known = aliases.toDF("__name", "__alias").distinct()
+    other = df.join(known, F.col(name) == F.col("__name")).select(*[F.col("__alias").alias(c) if c == name else F.col(c) for c in df.columns])
+    return df.union(other).distinct()
+
+
+def fill_year(targets: DataFrame, peers: DataFrame, key: Sequence[str], tolerance: int = 1) -> DataFrame:
+    """``targets`` with unknown ``year`` (0) taken from peers that share ``key`` (all known), if their years lie within ``tolerance``.
+
+    The most frequent year is taken, ties to the least.
+    """
+    known = reduce(lambda a, b: a & b, [F.col(k) != "" for k in key])
+    votes = peers.filter(known & (F.col("year") > 0)).groupBy(*key, "year").agg(F.count("*").alias("n"))
+    told = votes.groupBy(*key).agg(F.min("year").alias("__lo"), F.max("year").alias("__hi"), F.min(F.struct((-F.col("n")).alias("n"), F.col("year").alias("y"))).alias("__m"))
+    near = told.filter(F.col("__hi") - F.col("__lo") <= tolerance).select(*[F.col(k).alias(f"__{k}") for k in key], F.col("__m.y").alias("__year"))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in key])
+    year = F.when(F.col("year") == 0, F.coalesce("__year", F.lit(0))).otherwise(F.col("year"))
+    return targets.join(near, on, "left").select(*[year.alias(c) if c == "year" else F.col(c) for c in targets.columns])
+
+
+def fill_from_agreeing(targets: DataFrame, peers: DataFrame, album: str, authors: int = 1, publishers: int = 1, years: int = 1) -> DataFrame:
+    """``targets`` with unknown ``author`` and ``publisher`` ("") taken from an album's records where all of them agree.
+
+    They agree with at most so many authors and publishers and years at most ``years`` apart; a value is taken only if it is
+    the only one.
+    """
+    rows = peers.filter(F.col(album) != "")
+    known = lambda c: F.nullif(F.col(c), F.lit("") if c != "year" else F.lit(0))
+    told = rows.groupBy(F.col(album).alias("__album")).agg(
+        F.count_distinct(known("author")).alias("__as"), F.min(known("author")).alias("__author"), F.count_distinct(known("publisher")).alias("__ps"), F.min(known("publisher")).alias("__publisher"),
+        (F.max(known("year")) - F.min(known("year"))).alias("__span"),
+    )
+    agree = told.filter((F.col("__as") <= authors) & (F.col("__ps") <= publishers) & (F.coalesce("__span", F.lit(0)) <= years))
+    new = {c: F.when((F.col(c) == "") & (F.col(n) == 1), F.col(f"__{c}")).otherwise(F.col(c)) for c, n in (("author", "__as"), ("publisher", "__ps"))}
+    return targets.join(agree, F.col(album) == F.col("__album"), "left").select(*[new[c].alias(c) if c in new else F.col(c) for c in targets.columns])

@@ -36,12 +36,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from . import fusion_queries, knowledge_queries, queries as _registered, recording_queries, relational_queries, source_queries  # noqa: F401  register on import
+    from . import extract_queries, fusion_queries, knowledge_queries, queries as _registered, recording_queries, relational_queries, source_queries  # noqa: F401  register on import
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import fusion_queries, knowledge_queries, queries as _registered, recording_queries, relational_queries, source_queries  # noqa: F401
+    from . import extract_queries, fusion_queries, knowledge_queries, queries as _registered, recording_queries, relational_queries, source_queries  # noqa: F401
 
     return dict(_SQL)
