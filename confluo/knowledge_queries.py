@@ -151,3 +151,9 @@ def present_records(spark, sf_dir):
     rows = rows.withColumn("album", title).withColumn("type", F.when(F.col("hash") % 4 == 0, "trainer").otherwise(F.col("type")))
     handles = spark.createDataFrame([("Real One", "author1"), ("Real Two", "author2"), ("Real Three", "author3"), ("Other Three", "author3")], "real string, handle string")
     return _plain(knowledge.present(rows, handles)).select("hash", "priority", "album", "author")
+
+
+@query()
+def final_passes(spark, sf_dir):
+    """The last two passes over albums: publishers and years, authors, type and platform."""
+    return _plain(knowledge.final_passes(_held(_old(spark, sf_dir)), _base(spark, sf_dir)))

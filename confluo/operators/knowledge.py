@@ -414,3 +414,74 @@ def present(records: DataFrame, handles: DataFrame | None = None) -> DataFrame:
     authors = F.array_distinct(F.transform("__as", lambda x: x["a"]))
     many = back.withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
     return many.select(*[authors.alias(c) if c == "authors" else F.col(f"__row.{c}").alias(c) for c in records.columns])
+
+
+def fill_by_album(records: DataFrame, peers: DataFrame) -> DataFrame:
+    """``records`` with unknown publishers and year taken from ``peers`` of the same album whose nearest agree.
+
+    Peers have publishers, are games as the record is or not as it isn't, and lie within a year of its year if that is known.
+    Of them those stay that are nearest in turn: by year, platform, kind, publishers, simple album, authors; each test
+    counts only if something passes it.  Publishers and year are taken where all that stay tell the same.  Distinct kinds of
+    records meet distinct kinds of peers, so a common album costs its kinds.
+    """
+    rows = keyed(records)
+    kind = ("akey", "simple", "firms", "names", "year", "kind", "platform")
+    open_ = (F.col("album") != "") & ((F.size("publishers") == 0) | (F.col("year") == 0))
+    targets = rows.filter(open_).select(*kind).distinct().alias("t")
+    others = keyed(peers).filter((F.col("album") != "") & (F.size("publishers") > 0)).select(*kind, "publishers").distinct().alias("p")
+    t, p = (lambda c: F.col(f"t.{c}")), (lambda c: F.col(f"p.{c}"))
+    apart = F.abs(t("year") - p("year"))
+    met = targets.join(others, (t("akey") == p("akey")) & ((t("year") == 0) | (apart <= 1)) & ((t("kind") == "Game") == (p("kind") == "Game")))
+    close = F.when(t("year") == 0, p("year") != 0).otherwise((p("year") != 0) & ((apart == 0) | ((apart <= 1) & (F.size(t("firms")) > 0))))
+    tests = [
+        close, F.lower(t("platform")) == F.lower(p("platform")), t("kind") == p("kind"), (F.size(t("firms")) > 0) & F.arrays_overlap(t("firms"), p("firms")),
+        t("simple") == p("simple"), (F.size(t("names")) == 0) | (F.size(p("names")) == 0) | F.arrays_overlap(t("names"), p("names")),
+    ]
+    scored = met.select(*[t(c).alias(f"__{c}") for c in kind], F.struct(*[F.coalesce(x, F.lit(False)).cast("int").alias(f"t{i}") for i, x in enumerate(tests)]).alias("__near"), p("firms").alias("__of"), p("publishers").alias("__publishers"), p("year").alias("__told"))
+    scored = store(scored, "near")
+    mine = [f"__{c}" for c in kind]
+    best = scored.groupBy(*mine).agg(F.max("__near").alias("__most"))
+    left = scored.join(best, mine).filter(F.col("__near") == F.col("__most"))
+    known = F.when(F.col("__told") > 0, F.col("__told"))
+    told = left.groupBy(*mine).agg(F.min("__of").alias("__flo"), F.max("__of").alias("__fhi"), F.min("__publishers").alias("__firms_told"), F.min(known).alias("__ylo"), F.max(known).alias("__yhi"))
+    joined = rows.join(told, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__{c}") for c in kind]), "left")
+    publishers = F.when((F.size("publishers") == 0) & (F.col("album") != "") & (F.col("__flo") == F.col("__fhi")), F.col("__firms_told")).otherwise(F.col("publishers"))
+    year = F.when((F.col("year") == 0) & (F.col("album") != "") & (F.col("__ylo") == F.col("__yhi")), F.col("__ylo")).otherwise(F.col("year"))
+    new = {"publishers": publishers, "year": year}
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in records.columns])
+
+
+def fill_authors(records: DataFrame, peers: DataFrame) -> DataFrame:
+    """``records`` without authors with those of all ``peers`` of the same album, publishers, year, kind and platform, if they are the same."""
+    key = ("akey", "firms", "year", "kind", "platform")
+    whole = _known("album") & _known("publishers") & _known("year") & _known("type") & _known("platform")
+    authors = F.array_sort(F.array_distinct("authors"))
+    told = keyed(peers).filter(whole & _known("authors")).groupBy(*[F.col(k).alias(f"__{k}") for k in key]).agg(F.min(authors).alias("__lo"), F.max(authors).alias("__hi"))
+    rows = keyed(records)
+    joined = rows.join(told.filter("__lo = __hi"), reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in key]) & whole, "left")
+    new = F.when((F.size("authors") == 0) & F.col("__lo").isNotNull(), F.col("__lo")).otherwise(F.col("authors"))
+    return joined.select(*[new.alias(c) if c == "authors" else F.col(c) for c in records.columns])
+
+
+def final_passes(records: DataFrame, base: DataFrame, passes: int = 2) -> DataFrame:
+    """``records`` after the last passes: publishers and years by album, then authors, then type and platform, from each other and ``base``.
+
+    Every pass sees what the one before has filled; it reads a table of that state, so records filled alike don't depend on order.
+    """
+    facts = store(base.select(*FIELDS), "facts")
+    for _ in range(passes):
+        state = store(_filled(records), "state")
+        everything = state.select(*FIELDS).union(facts)
+        filled = store(fill_by_album(state, everything), "filled")
+        named = store(fill_authors(filled, filled.select(*FIELDS).union(facts)), "named")
+        known = store(keyed(named.select(*FIELDS).union(facts)), "known")
+        rows = keyed(named)
+        for name, value in (("type_of_platform", "type"), ("platform_of_type", "platform")):
+            relation = next(r for r in RELATIONS if r.name == name)
+            told = dependency_map(known, relation).withColumnsRenamed({"akey": "__a", relation.key[0]: "__b", value: "__told"})
+            on = (F.col("akey") == F.col("__a")) & (F.col(relation.key[0]) == F.col("__b")) & (F.col("album") != "")
+            given = F.when((F.col(value) == "") & F.col("__told").isNotNull(), F.col("__told")).otherwise(F.col(value))
+            rows = rows.join(told, on, "left").select(*[given.alias(c) if c == value else F.col(c) for c in rows.columns])
+            rows = rows.withColumn("kind", text.normalize_type(F.col("type")))
+        records = rows.select(*records.columns)
+    return records

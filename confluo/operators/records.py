@@ -31,10 +31,16 @@ def leftovers(df: DataFrame, key: Sequence[str], tests: Sequence[Column], order:
     return ranked(df, key, points(*tests), order).filter("rank > 1").drop("rank")
 
 
+def _beside(df: DataFrame, key: Sequence[str], **values: Column) -> DataFrame:
+    """``df`` with aggregates of its key: combined map-side and joined back, so no key is gathered in one task's window."""
+    told = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)]).agg(*[v.alias(n) for n, v in values.items()])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(key)])
+    return df.join(told, on).drop(*[f"__k{i}" for i in range(len(key))])
+
+
 def near_minimum(df: DataFrame, key: Sequence[str], value: str, tolerance: int = 1) -> DataFrame:
     """Records whose ``value`` (0 or null: unknown, dropped if any is known) is at most ``tolerance`` over the key's least."""
-    least = F.min(F.when(F.col(value) > 0, F.col(value))).over(Window.partitionBy(*key))
-    return df.withColumn("__least", least).filter(
+    return _beside(df, key, __least=F.min(F.when(F.col(value) > 0, F.col(value)))).filter(
         F.col("__least").isNull() | ((F.col(value) > 0) & (F.col(value) <= F.col("__least") + tolerance))
     ).drop("__least")
 
@@ -94,12 +100,14 @@ def inverted_index(df: DataFrame, values: str, record: str) -> DataFrame:
 
 
 def progressive_filter(df: DataFrame, group: Sequence[str], tests: Sequence[Column]) -> DataFrame:
-    """Each test in turn narrows a group's records, unless no record of the group would be left."""
-    w, out = Window.partitionBy(*group), df
-    for test in tests:
-        held = F.coalesce(test, F.lit(False))
-        out = out.withColumn("__held", held).withColumn("__any", F.max("__held").over(w)).filter("__held or not __any").drop("__held", "__any")
-    return out
+    """Each test in turn narrows a group's records, unless no record of the group would be left.
+
+    What is left are the records whose results, read as one tuple, are the greatest of the group: one maximum for any number of tests.
+    """
+    if not tests:
+        return df
+    marked = df.withColumn("__held", F.struct(*[F.coalesce(t, F.lit(False)).cast("int").alias(f"t{i}") for i, t in enumerate(tests)]))
+    return _beside(marked, group, __most=F.max("__held")).filter(F.col("__held") == F.col("__most")).drop("__held", "__most")
 
 
 def compilations(df: DataFrame, group: Sequence[str], author: str, least: int = 5) -> DataFrame:
@@ -136,8 +144,7 @@ def cap_years(df: DataFrame, caps: DataFrame, key: str, year: str, blank: Sequen
 
 def blank_outlier_years(df: DataFrame, group: Sequence[str], year: str) -> DataFrame:
     """Years before their group's latest are blanked."""
-    latest = F.max(year).over(Window.partitionBy(*group))
-    return df.withColumn(year, F.when(F.col(year) == latest, F.col(year)))
+    return _beside(df, group, __latest=F.max(year)).withColumn(year, F.when(F.col(year) == F.col("__latest"), F.col(year))).drop("__latest")
 
 
 def longest_entry(df: DataFrame, key: Sequence[str], prefer: Column, group: str, number: str, length: str) -> DataFrame:

@@ -226,3 +226,52 @@ def test_simple_key_is_asked_second(spark):
     none = F.array().cast("array<string>")
     got = knowledge.impute(held.withColumn("formats", none).withColumn("players", none), knowledge.knowledge_base(facts)).collect()
     assert [(r["publishers"], r["year"], r["type"], r["platform"], r["authors"]) for r in got] == [(["acme"], 1993, "Other", "PC", ["ann"])]
+
+
+def plain_pass(rows: list[dict], facts: list[dict]) -> list[dict]:
+    every = [norm(r) for r in rows] + [norm(f) for f in facts]
+    out = []
+    for r in map(norm, rows):
+        s = dict(r)
+        if r["album"] and (not r["publishers"] or not r["year"]):
+            peers = [p for p in every if p["album"] and p["publishers"] and p["akey"] == r["akey"] and (not r["year"] or abs(p["year"] - r["year"]) <= 1) and (p["kind"] == "Game") == (r["kind"] == "Game")]
+            tests = [
+                lambda p: p["year"] != 0 if not r["year"] else p["year"] != 0 and (p["year"] == r["year"] or bool(r["firms"])),
+                lambda p: p["platform"] == r["platform"], lambda p: p["kind"] == r["kind"], lambda p: bool(set(p["firms"]) & set(r["firms"])), lambda p: True,
+                lambda p: not p["names"] or not r["names"] or bool(set(p["names"]) & set(r["names"])),
+            ]
+            for test in tests:
+                peers = [p for p in peers if test(p)] or peers
+            if not r["publishers"] and len({tuple(p["firms"]) for p in peers}) == 1:
+                s["publishers"] = min(p["publishers"] for p in peers)
+            if not r["year"] and len({p["year"] for p in peers if p["year"]}) == 1:
+                s["year"] = next(p["year"] for p in peers if p["year"])
+        out.append(s)
+    rows = [norm(s) for s in out]
+    every = rows + [norm(f) for f in facts]
+    whole = lambda p: p["album"] and p["publishers"] and p["year"] and p["type"] and p["platform"]
+    key = lambda p: (p["akey"], tuple(p["firms"]), p["year"], p["kind"], p["platform"])
+    done = []
+    for r in rows:
+        told = {tuple(sorted(p["authors"])) for p in every if whole(p) and p["authors"] and key(p) == key(r)}
+        done.append(norm(r | {"authors": list(told.pop())}) if not r["authors"] and whole(r) and len(told) == 1 else r)
+    maps = plain_maps(done + [norm(f) for f in facts])
+    for r in done:
+        if not r["type"] and r["album"]:
+            r["type"] = maps["type_of_platform"].get((r["akey"], r["platform"]), "")
+        r.update(norm(r))
+        if not r["platform"] and r["album"]:
+            r["platform"] = maps["platform_of_type"].get((r["akey"], r["kind"]), "")
+    return done
+
+
+def test_final_passes(spark):
+    _, facts, held, _, started = tables(spark)
+    base = knowledge.knowledge_base(facts)
+    plain = [{f: (list(r[f]) if isinstance(r[f], list) else r[f]) for f in FIELDS} for r in base.collect()]
+    rows = [dict(zip(("hash", "priority", *FIELDS), r, strict=True)) for r in started]
+    for _ in range(2):
+        rows = [{k: s[k] for k in ("hash", "priority", *FIELDS)} for s in plain_pass(rows, plain)]
+    got = as_rows(knowledge.final_passes(held, base))
+    assert got == sorted((r["hash"], *[r[f] for f in FIELDS]) for r in rows)
+    assert sum(a != (r[0], *r[2:]) for a, r in zip(got, started, strict=True)) > 5
