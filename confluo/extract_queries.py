@@ -143,3 +143,21 @@ def fill_from_album(spark, sf_dir):
     """Authors and publishers of an album whose records agree."""
     flat = _flat(spark, sf_dir)
     return fusion.fill_from_agreeing(flat, flat, "album", authors=1, publishers=2, years=12).select("hash", "priority", "author", "publisher")
+
+
+@query(sql="""WITH k AS (SELECT DISTINCT md5(text) AS h, substr(md5(text), 1, 1) || (n_chars % 64)::VARCHAR AS short FROM documents) SELECT short, count(*) AS n FROM k GROUP BY 1 HAVING count(*) > 1""")
+def key_collisions(spark, sf_dir):
+    """Short keys that stand for several long ones."""
+    h = F.md5(F.col("text").cast("binary"))
+    rows = _table(spark, sf_dir, "documents").select(h.alias("long"), F.concat(F.substring(h, 1, 1), (F.col("n_chars") % 64).cast("string")).alias("short"))
+    return records.collisions(rows, "long", "short")
+
+
+@query(sql=f"""WITH {_RECORDS}, d AS (SELECT hash % 60 AS k, nullif(publisher, '') AS publisher, nullif(album, '') AS album, nullif(year, 0) AS year FROM r),
+g AS (SELECT k, concat_ws('~', CASE WHEN min(publisher) <> max(publisher) THEN 'publisher' END, CASE WHEN min(album) <> max(album) THEN 'album' END, CASE WHEN min(year) <> max(year) THEN 'year' END) AS differ FROM d GROUP BY k)
+SELECT k, differ FROM g WHERE differ <> '' AND k % 10 <> 0""")
+def strict_collisions(spark, sf_dir):
+    """Records that share a short key must agree, but for the keys that are known to collide."""
+    rows = _flat(spark, sf_dir).withColumn("k", F.col("hash") % 60)
+    allowed = spark.range(0, 60, 10).select(F.col("id").alias("k"))
+    return records.disagreeing(rows, "k", ["publisher", "album", "year"], allowed).select("k", F.array_join("differ", "~").alias("differ"))

@@ -203,3 +203,20 @@ def first_source(df: DataFrame, key: Sequence[str], source: str, value: str, ord
     places = F.create_map(*[F.lit(x) for i, s in enumerate(order) for x in (s, i)])
     rows = df.withColumn("__p", places[F.col(source)]).filter(F.col("__p").isNotNull() & F.col(value).isNotNull())
     return rows.groupBy(*key).agg(F.min_by(value, "__p").alias(value))
+
+
+def collisions(df: DataFrame, long: str, short: str) -> DataFrame:
+    """(short, n): short keys that stand for several long ones; empty if the shorter form is safe."""
+    return df.select(long, short).distinct().groupBy(short).agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def disagreeing(df: DataFrame, key: str, fields: Sequence[str], allowed: DataFrame | None = None) -> DataFrame:
+    """(key, fields that differ, in order): keys whose records don't agree on all ``fields``, but for those ``allowed``.
+
+    Unknown values ("" and 0, null) agree with any.
+    """
+    known = [F.when(F.col(f).cast("string").isin("", "0"), F.lit(None)).otherwise(F.col(f)) for f in fields]
+    told = df.groupBy(key).agg(*[F.min(k).alias(f"__lo{i}") for i, k in enumerate(known)], *[F.max(k).alias(f"__hi{i}") for i, k in enumerate(known)])
+    differ = F.filter(F.array(*[F.when(F.col(f"__lo{i}") != F.col(f"__hi{i}"), F.lit(f)) for i, f in enumerate(fields)]), lambda f: f.isNotNull())
+    found = told.select(key, differ.alias("differ")).filter(F.size("differ") > 0)
+    return found if allowed is None else found.join(allowed.select(key).distinct(), key, "left_anti")
