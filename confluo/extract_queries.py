@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .functions import extract, text
 from .fusion_queries import _RECORDS, _flat
-from .operators import fusion, records
+from .operators import fusion, records, releases
 from .queries import _quoted, _table
 from .registry import query
 
@@ -161,3 +161,17 @@ def strict_collisions(spark, sf_dir):
     rows = _flat(spark, sf_dir).withColumn("k", F.col("hash") % 60)
     allowed = spark.range(0, 60, 10).select(F.col("id").alias("k"))
     return records.disagreeing(rows, "k", ["publisher", "album", "year"], allowed).select("k", F.array_join("differ", "~").alias("differ"))
+
+
+@query()
+def dated_releases(spark, sf_dir):
+    """Of each customer's orders as releases the one that tells the date."""
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+
+    def date(turn):
+        return F.when(turn == 0, "").when(turn == 1, F.concat(F.substring(day, 1, 4), F.lit("-99-99"))).when(turn == 2, F.concat(F.substring(day, 1, 7), F.lit("-99"))).otherwise(day)
+
+    turns = {"mod": key % 4, "prod": F.floor(key / 4) % 4, "party": F.floor(key / 16) % 4}
+    columns = [c for d, t in turns.items() for c in (date(t).alias(f"{d}_date"), t.cast("int").alias(f"{d}_precision"))]
+    rows = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("hash"), key.alias("id"), (key % 3 != 0).alias("has_authors"), (key % 5 != 0).alias("has_prod"), *columns)
+    return releases.choose_release(rows, "hash")
