@@ -175,3 +175,16 @@ def dated_releases(spark, sf_dir):
     columns = [c for d, t in turns.items() for c in (date(t).alias(f"{d}_date"), t.cast("int").alias(f"{d}_precision"))]
     rows = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("hash"), key.alias("id"), (key % 3 != 0).alias("has_authors"), (key % 5 != 0).alias("has_prod"), *columns)
     return releases.choose_release(rows, "hash")
+
+
+@query(sql="""SELECT p_partkey, 'The ' || p_name AS album, CASE WHEN p_size % 3 = 0 THEN 0 ELSE 1980 + p_size END AS year, 'Game' AS type, 'Amiga' AS platform,
+CASE p_partkey % 3 WHEN 0 THEN p_type WHEN 1 THEN 'Bob Smith~Cid Smith' ELSE p_brand END AS authors, CASE p_partkey % 3 WHEN 2 THEN 'Crew' ELSE p_brand || '~Firm' END AS publishers FROM part""")
+def music_paths(spark, sf_dir):
+    """Catalogue paths of music files taken apart."""
+    key = F.col("p_partkey") % 3
+    year = F.when(F.col("p_size") % 3 == 0, "19xx").otherwise((F.col("p_size") + 1980).cast("string"))
+    firm = F.when(key == 2, F.concat("p_brand", F.lit(" of Crew"))).otherwise(F.concat(F.lit("Firm and "), "p_brand"))
+    people = F.when(key == 0, F.concat(F.lit("[cmp "), "p_type", F.lit(" of Duo & Ann]"))).when(key == 1, "[cmp Bob and Cid Smith]").otherwise("")
+    path = F.concat(F.lit("Games - TFMX/sub/"), "p_name", F.lit(", The - Level "), "p_type", F.lit(" ("), year, F.lit(")(AGA)("), firm, F.lit(")"), people, F.lit(".mod"))
+    facts = _table(spark, sf_dir, "part").select("p_partkey", extract.music_path(path).alias("m"))
+    return facts.select("p_partkey", "m.album", "m.year", "m.type", "m.platform", F.array_join("m.authors", "~").alias("authors"), F.array_join("m.publishers", "~").alias("publishers"))

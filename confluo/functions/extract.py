@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
@@ -42,6 +42,25 @@ def _in_turn(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return F.aggregate(table, text, lambda acc, rule: F.regexp_replace(acc, rule["p"], rule["r"]))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
+def _grown(state: Column, *stages: Callable[[Column], dict[str, Column]]) -> Column:
+    """A struct that gains the fields of each stage in turn, each of which sees the fields before."""
+    if not stages:
+        return state
+
+    def grow(s: Column) -> Column:
+        out = s
+        for name, value in stages[0](s).items():
+            out = out.withField(name, value)
+        return _grown(out, *stages[1:])
+
+    return _let(state, grow)
+
+
 def companies(text: Column) -> Column:
     """Companies of a list, without bracketed parts, company forms and a leading `The`; null has none."""
     bare = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\([^)]*\)", ""))
@@ -61,18 +80,20 @@ def people(text: Column) -> Column:
     A hyphen parts two people inside a name of several words on both sides and in handles without blanks, and stays in a
     first name before a surname.
     """
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"^by\s+", "")
     shared = r"^(.+?)\s+and\s+(\S+)\s+(\S+)$"
-    surname = F.regexp_extract(bare, shared, 3)
-    both = F.array(*[F.concat_ws(" ", F.regexp_extract(bare, shared, i), surname) for i in (1, 2)])
 
     def cut(part: Column) -> Column:
         inner = F.split(F.regexp_replace(part, r"(\s\S+)-(\S+\s)", "$1\u0001$2"), "\u0001")
         return F.when(part.rlike(r".*\s\S+-\S+\s.*"), inner).when(part.rlike(r".*-.*\s+.*"), F.array(part)).otherwise(F.split(part, "-"))
 
-    parts = F.flatten(F.transform(F.split(bare, r"\s*[+&]\s*|\s+and\s+"), cut))
-    listed = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
-    return F.when(surname != "", both).otherwise(listed)
+    def listed(bare: Column) -> Column:
+        surname = F.regexp_extract(bare, shared, 3)
+        both = F.array(*[F.concat_ws(" ", F.regexp_extract(bare, shared, i), surname) for i in (1, 2)])
+        parts = F.flatten(F.transform(F.split(bare, r"\s*[+&]\s*|\s+and\s+"), lambda p: cut(p)))
+        apart = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
+        return F.when(bare == "Full-FX", F.array(bare)).when(surname != "", both).otherwise(apart)
+
+    return _let(F.regexp_replace(F.coalesce(text, F.lit("")), r"^by\s+", ""), listed)
 
 
 def file_album(path: Column) -> Column:
@@ -104,6 +125,105 @@ def tells_of_event(comment: Column) -> Column:
     return some & ~reduce(lambda a, b: a | b, [low.contains(w) for w in NO_EVENT_WORDS])
 
 
+#: Beginnings of catalogue paths whose people aren't to be trusted (fixed values).
+UNSURE_PEOPLE = (
+    "Games - AON", "Games - BP", "Games - FRED", "Games - MED", "Games - MOD", "Music - Games - ML", "Music - Games - OKT", "Music - Games - Covers", "Music - Games - Cracktro",
+)
+#: Formats of demos that tell a PC, signs of a machine that are no publisher, and names with a form of their own (fixed values).
+PC_DEMOS = ("Demos - XM", "Demos - 669", "Demos - IT", "Demos - S3M")
+_MACHINE = "^(AGA|ECS|OCS|CD32|CDTV)$"
+ALBUM_NAMES = {"deathtrap": "Death Trap"}
+_NOBODY = "array<string>"
+
+
+def _sorted(values: Column) -> Column:
+    return F.array_sort(F.array_distinct(F.filter(values, lambda v: F.trim(v) != "")))
+
+
+def music_path(path: Column) -> Column:
+    """Struct (authors, composers, publishers, album, year, type, platform) of a catalogue path of music files.
+
+    Round brackets hold the year (the first that begins with four digits), publishers, and in scene music authors; `A of B`
+    is an author and a group; square ones hold `cmp` composers and `seq` authors, who lose `of B` where a publisher is
+    named.  The album is the file's name up to ` - ` or a bracket.  Covers tell people only, scene music no album.  Composers
+    are the authors where there are none.  A single author that ends with a year is a remix of that year.
+    """
+    none = F.array().cast(_NOBODY)
+    of_group = r"^(.+?)\s+of\s+(.+)$"
+    both = r"\[cmp ([^-]+)-\s*seq ([^\]]+)\]"
+
+    def people_of(s: Column, who: Column) -> Column:
+        return people(F.when(s["published"], F.regexp_replace(F.trim(who), r"\s+of\s+.+$", "")).otherwise(F.trim(who)))
+
+    def brackets(s: Column) -> dict[str, Column]:
+        return {"held": F.when(s["covers"], none).otherwise(F.regexp_extract_all(s["path"], F.lit(r"\(([^)]+)\)"), 1))}
+
+    def years(s: Column) -> dict[str, Column]:
+        dated = F.filter(s["held"], lambda g: g.rlike(r"^\d{4}") & ~F.lower(g).contains("x"))
+        others = F.filter(s["held"], lambda g: ~g.rlike(r"^(\d{4}|\d{2}xx|\d{3}x)") & ~g.startswith("cmp ") & (g != "-") & ~g.rlike(_MACHINE))
+        return {"year": F.coalesce(F.substring(F.get(dated, F.lit(0)), 1, 4).cast("int"), F.lit(0)), "others": others}
+
+    def groups(s: Column) -> dict[str, Column]:
+        def publishers(g: Column) -> Column:
+            listed = F.transform(F.split(g, r"\s+(?:and|&)\s+|\s+-\s+"), lambda x: F.trim(x))
+            return F.when(g.rlike(of_group), F.array(F.regexp_extract(g, of_group, 2))).when(s["scene"], none).when(g == "Share and Enjoy", F.array(g)).otherwise(listed)
+
+        def authors(g: Column) -> Column:
+            who = F.when(g.rlike(of_group), F.regexp_extract(g, of_group, 1)).when(s["scene"], g).otherwise("")
+            return people(who)
+
+        return {
+            "published": F.exists(s["others"], lambda g: ~g.rlike(of_group)),
+            "publishers": F.flatten(F.transform(s["others"], lambda g: publishers(g))),
+            "authors": F.flatten(F.transform(s["others"], lambda g: authors(g))),
+        }
+
+    def composers(s: Column) -> dict[str, Column]:
+        singles = F.flatten(F.transform(F.concat(*[F.regexp_extract_all(s["path"], F.lit(p), 1) for p in (r"\[cmp ([^\]]+)\]", r"\(cmp ([^)]+)\)")]), lambda c: people_of(s, c)))
+        pair = s["path"].rlike(both)
+        first = people_of(s, F.regexp_extract(s["path"], both, 1))
+        second = people_of(s, F.regexp_extract(s["path"], both, 2))
+        return {"composers": F.when(pair, first).otherwise(singles), "authors": F.when(pair, F.concat(second, s["authors"])).otherwise(s["authors"])}
+
+    def authors(s: Column) -> dict[str, Column]:
+        sequenced = people_of(s, F.regexp_extract(s["path"], r"\[seq ([^\]]+)\]", 1))
+        return {"authors": F.when(F.size(s["authors"]) > 0, s["authors"]).otherwise(sequenced)}
+
+    def fallback(s: Column) -> dict[str, Column]:
+        is_jmp = (F.size(s["publishers"]) == 1) & (F.get(s["publishers"], F.lit(0)) == "JMP")
+        some = F.when(F.size(s["authors"]) > 0, s["authors"]).otherwise(s["composers"])
+        return {"authors": F.when(is_jmp, F.concat(some, F.array(F.lit("JMP")))).otherwise(some), "publishers": F.when(is_jmp, none).otherwise(s["publishers"])}
+
+    def albums(s: Column) -> dict[str, Column]:
+        head = F.regexp_extract(s["file"], r"^(.+?) - ", 1)
+        bare = F.trim(F.when(head != "", F.regexp_replace(head, r"[(\[].*$", "")).otherwise(F.regexp_extract(s["file"], r"^([^/]+?)\s*\(", 1)))
+        return {"bare": bare, "first": F.when(F.size(s["authors"]) == 1, F.get(s["authors"], F.lit(0))).otherwise("")}
+
+    def shown(s: Column) -> dict[str, Column]:
+        title = F.trim(F.regexp_replace(s["bare"], r"^(.+?),\s*(The|A|An|Les?|La|L'|Der)\b(.*)", "$2 $1$3"))
+        for plain, own in ALBUM_NAMES.items():
+            title = F.when(s["bare"] == plain, own).otherwise(title)
+        remix = s["first"].rlike(r"\(\d{4}\)$")
+        album = F.when(remix | s["scene"] | s["covers"] | (title == ""), "").when(s["cracktro"], F.concat(title, F.lit(" [cracktro]"))).otherwise(title)
+        unsure = reduce(lambda a, b: a | b, [s["path"].startswith(p) for p in UNSURE_PEOPLE], s["file"].startswith("ZZZ"))
+        who = F.when(remix, F.array(F.trim(F.regexp_replace(s["first"], r"\(\d{4}\)$", "")))).when(s["first"] == "Fire by HMW", F.array(F.lit("HMW"))).otherwise(s["authors"])
+        game = s["path"].contains("Games -") & ~s["scene"] & ~s["covers"] & ~s["cracktro"]
+        on_pc = reduce(lambda a, b: a | b, [s["path"].contains(p) for p in PC_DEMOS])
+        return {
+            "album": album, "year": F.when(remix, F.regexp_extract(s["first"], r"\((\d{4})\)$", 1).try_cast("int")).otherwise(s["year"]),
+            "authors": F.when(unsure, none).otherwise(_sorted(who)), "composers": _sorted(s["composers"]), "publishers": F.when(remix, none).otherwise(_sorted(s["publishers"])),
+            "type": F.when(game, "Game").when(s["path"].contains("Demos -"), "Demo").otherwise(""),
+            "platform": F.when(on_pc, "PC").when(s["path"].contains("Demos - ") | game, "Amiga").otherwise(""),
+        }
+
+    begin = F.struct(
+        path.alias("path"), F.element_at(F.split(path, "/"), -1).alias("file"),
+        *[path.startswith(f"Music - {x}").alias(n) for n, x in (("scene", "Scene"), ("covers", "Games - Covers"), ("cracktro", "Games - Cracktro"))],
+    )
+    done = _grown(begin, brackets, years, groups, composers, authors, fallback, albums, shown)
+    return _let(done, lambda s: F.struct(*[s[f].alias(f) for f in ("authors", "composers", "publishers", "album", "year", "type", "platform")]))
+
+
 def mined(patterns: Sequence[tuple[str, int]]):
     """Arrow function for long tables of ordered (pattern, group): the first that matches a text gives its group, else "".
 
