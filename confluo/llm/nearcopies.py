@@ -2,7 +2,7 @@
 
 Bands propose; a pair counts only if the sets of its whole texts' shingles have a Jaccard similarity of ``SIMILARITY``
 or more, so documents without a near copy stay.  A pair just at 0.8 meets in no band once in some 2,800 pairs
-((1 - 0.8 ** ROWS) ** BANDS); all pairs above it less often.
+((1 - 0.8 ** ROWS) ** BANDS), or has too few rows alike (``LEAST_ROWS``); all pairs above it less often.
 """
 
 from __future__ import annotations
@@ -25,7 +25,10 @@ SIMILARITY = 0.8
 SHINGLE_WORDS = 5
 BANDS, ROWS = 20, 5
 #: Once all pairs in the buckets left are at most so many times the band keys of all documents, they are compared at once.
-PAIRS_PER_KEY = 0.1
+PAIRS_PER_KEY = 1
+#: Of the BANDS * ROWS least hashes so many must be equal before texts are compared: at 0.8 they are 80 on average, and
+#: fewer than this once in some 6,800 pairs.
+LEAST_ROWS = 65
 _rng = np.random.default_rng(20)
 _FLIP, _ODD = (_rng.integers(0, 1 << 64, (BANDS * ROWS, 1), np.uint64) for _ in range(2))
 _ODD |= np.uint64(1)
@@ -45,17 +48,18 @@ def shingles(text: bytes) -> set[bytes]:
     return {joined[a:b] for a, b in zip((ends - lengths)[:n].tolist(), (ends[SHINGLE_WORDS - 1 :] - 1).tolist(), strict=True)}
 
 
-def band_keys(text: bytes) -> list[int]:
-    """One signed long per band; none for a text without words."""
+def signature(text: bytes) -> tuple[list[int], list[int]]:
+    """(one signed long per band, the last eight bits of every row's least hash); none for a text without words."""
     mine = shingles(text)
     if not mine:
-        return []
+        return [], []
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, mine), np.uint64, len(mine))
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 1024):
         least = np.minimum(least, ((hashes[at : at + 1024] ^ _FLIP) * _ODD).min(1))
     rows = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(r.tobytes(), b) for b, r in enumerate(rows)], np.uint64).view(np.int64).tolist()
+    keys = np.array([xxhash.xxh64_intdigest(r.tobytes(), b) for b, r in enumerate(rows)], np.uint64)
+    return keys.view(np.int64).tolist(), (least & np.uint64(255)).astype(np.uint8).view(np.int8).tolist()
 
 
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,6 +90,18 @@ def _crowded(members: DataFrame) -> DataFrame:
     return members.join(buckets, "key")
 
 
+def _all_pairs(ranked: DataFrame, banded: DataFrame) -> DataFrame:
+    """(low, id) of all pairs that share a bucket and ``LEAST_ROWS`` of their rows, each given by the first band that the two share."""
+    rows = store(ranked.select("key", "id").join(banded, "id"), "paired")
+    a, b = rows.alias("a"), rows.alias("b")
+    first = F.array_position(F.zip_with("a.keys", "b.keys", lambda x, y: x == y), True)
+    alike = F.size(F.filter(F.zip_with("a.rows", "b.rows", lambda x, y: x == y), lambda same: same))
+    own = F.get("a.keys", first.cast("int") - 1) == F.col("a.key")
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & own & (alike >= LEAST_ROWS)).select(
+        F.col("a.id").alias("low"), F.col("b.id").alias("id")
+    )
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(low, id) links of near copies, low < id: of any two near copies that share a band, one at least is an ``id``.
 
@@ -97,10 +113,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("body")).filter("id is not null")
 
     def make():
-        return lambda texts: [pa.array([band_keys(t) for t in texts], pa.list_(pa.int64()))]
+        def score(texts: list[bytes]) -> list[pa.Array]:
+            found = [signature(t) for t in texts]
+            return [pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.int8()))]
+
+        return score
 
-    keys = add_columns(plain, "body", [("keys", T.ArrayType(T.LongType()))], make)
-    every = store(keys.select("id", F.explode("keys").alias("key")).distinct(), "bands")
+    keys = add_columns(plain, "body", [("keys", T.ArrayType(T.LongType())), ("rows", T.ArrayType(T.ByteType()))], make)
+    banded = store(keys.select("id", "keys", "rows").dropDuplicates(["id"]), "bands")
+    every = banded.select("id", F.explode("keys").alias("key"))
     members = store(_crowded(every).select("key", "id"), "members")
     texts = store(plain.join(members.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "texts")
     most, found = PAIRS_PER_KEY * every.count(), []
@@ -110,8 +131,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if not rows:
             break
         if last := pairs <= most:
-            a, b = ranked.alias("a"), ranked.alias("b")
-            met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("low"), F.col("b.id").alias("id"))
+            met = _all_pairs(ranked, banded)
         else:
             met = ranked.filter("id <> low").select("low", "id")
         found.append(_verified(met.distinct(), texts))
