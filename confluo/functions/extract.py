@@ -61,17 +61,26 @@ def _grown(state: Column, *stages: Callable[[Column], dict[str, Column]]) -> Col
     return _let(state, grow)
 
 
-def companies(text: Column) -> Column:
-    """Companies of a list, without bracketed parts, company forms and a leading `The`; null has none."""
-    bare = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\([^)]*\)", ""))
+def company_parts(text: Column) -> Column:
+    """Parts of a list of companies, as structs of raw and short: without company forms and a leading `The`; null stays null."""
+    bare = F.trim(F.regexp_replace(text, r"\([^)]*\)", ""))
     listed = F.trim(_in_turn(bare, COMPANY_LIST_RULES))
 
-    def name(part: Column) -> Column:
-        short = F.aggregate(F.array(*[F.lit(p) for p in COMPANY_FORMS]), F.trim(part), lambda acc, p: F.regexp_replace(acc, p, F.lit("")))
-        kept = F.when(F.trim(part).isin(*COMPANY_AS_IT_IS), F.trim(part)).otherwise(F.trim(short))
-        return F.when(kept.isin(*NO_COMPANY), "").otherwise(kept)
+    def part(raw: Column) -> Column:
+        short = F.aggregate(F.array(*[F.lit(p) for p in COMPANY_FORMS]), raw, lambda acc, p: F.regexp_replace(acc, p, F.lit("")))
+        return F.struct(raw.alias("raw"), F.trim(short).alias("short"))
+
+    return F.transform(F.split(listed, ","), lambda p: part(F.trim(p)))
+
 
-    return F.filter(F.transform(F.split(listed, ","), name), lambda p: p != "")
+def company(raw: Column, short: Column) -> Column:
+    """The name that a part stands for, or ""."""
+    return F.when(short.isin("", *NO_COMPANY), "").when(raw.isin(*COMPANY_AS_IT_IS), raw).otherwise(short)
+
+
+def companies(text: Column) -> Column:
+    """Companies of a list, without bracketed parts, company forms and a leading `The`; null has none."""
+    return F.filter(F.transform(company_parts(F.coalesce(text, F.lit(""))), lambda p: company(p["raw"], p["short"])), lambda p: p != "")
 
 
 def people(text: Column) -> Column:

@@ -55,3 +55,22 @@ def test_routes_and_mining(spark):
     assert got == {"a": ("asked", "x/y"), "b": ("rest", "x"), "c": (None, None)}
     df = spark.createDataFrame([("by ann of crew",), ("crew",), (None,)], "t string")
     assert [r[0] for r in df.select(extract.mined([("by (\\w+) of", 1), ("^(c)", 1)])("t")).collect()] == ["ann", "c", ""]
+
+
+def test_company_names_as_in_sql(spark, tmp_path):
+    """A key that two lists have is one row, a list without names is null, a null list is none."""
+    import duckdb
+
+    from confluo import extract_queries, registry
+
+    rows = [(1_000_000, "SMALL"), (5, "Freeware"), (12, "The One"), (12, "Two, Three"), (2, None), (1, "x"), (None, "y")]
+    spark.createDataFrame(rows, "p_partkey long, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+
+    def plain(found):  # places of one key and equal places are ties in the SQL
+        return sorted((k, None if v is None else sorted(v.split("~"))) for k, v in found)
+
+    got = [tuple(r) for r in extract_queries.company_names(spark, str(tmp_path)).collect()]
+    assert plain(got) == plain(con.execute(registry.oracle_sql()["company_names"]).fetchall())
+    assert dict(got)[1_000_000] == "The Learning Co.~SMALL~The Learning Co.~Learning~Two" and len(got) == 4 and dict(got)[5] is None
