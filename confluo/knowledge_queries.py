@@ -30,8 +30,8 @@ def _old(spark, sf_dir: str) -> DataFrame:
     return rows.withColumn("year", F.when(F.col("year") > 0, F.col("year") - 8).otherwise(0)).withColumn("platform", F.when(pc, "PC").otherwise(F.col("platform")))
 
 
-def _base(spark, sf_dir: str) -> DataFrame:
-    rows = _old(spark, sf_dir)
+def _base(spark, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = _old(spark, sf_dir) if rows is None else rows
     return store(knowledge.knowledge_base(rows.filter("priority < 5"), rows.filter("priority = 5")), "base")
 
 
@@ -126,8 +126,8 @@ def _held(rows: DataFrame) -> DataFrame:
 @query()
 def fill_conditionally(spark, sf_dir):
     """Seventeen conditional fills in turn, from each hash's own sources."""
-    rows = _old(spark, sf_dir)
-    return _plain(knowledge.fill_conditionally(_held(rows), rows, _base(spark, sf_dir)))
+    rows = store(_old(spark, sf_dir), "records")
+    return _plain(knowledge.fill_conditionally(_held(rows), rows, _base(spark, sf_dir, rows)))
 
 
 @query()

@@ -88,9 +88,9 @@ def scrub_unreliable(doubtful: DataFrame, known: DataFrame) -> DataFrame:
 
 def knowledge_base(reliable: DataFrame, doubtful: DataFrame | None = None) -> DataFrame:
     """Distinct records of all sources without their hashes, keyed: doubtful ones scrubbed first, none that can't be."""
-    base = keyed(reliable.select(*FIELDS)).distinct()
+    base = keyed(reliable.select(*FIELDS).distinct()).distinct()
     if doubtful is not None:
-        base = base.union(scrub_unreliable(keyed(doubtful.select(*FIELDS)), base).select(*base.columns)).distinct()
+        base = base.union(scrub_unreliable(keyed(doubtful.select(*FIELDS).distinct()), base).select(*base.columns)).distinct()
     return sane(base)
 
 
@@ -280,6 +280,59 @@ def existence(base: DataFrame, name: str) -> DataFrame:
     return rows.select(*columns).distinct()
 
 
+_STEADY = "struct<year:int,kind:string,platform:string>"
+_RECORD_TYPE = "struct<publishers:array<string>,album:string,year:int,type:string,platform:string,firms:array<string>,akey:string>"
+
+
+def _record() -> Column:
+    return F.struct(*[F.col(f).cast("int").alias(f) if f == "year" else F.col(f) for f in ("publishers", "album", "year", "type", "platform", "firms", "akey")])
+
+
+def _token(kind: str, *parts: Column) -> Column:
+    """A tuple as a string that no other has: all parts but the last are led by their length."""
+    *first, last = (p.cast("string") for p in parts)
+    led = [x for p in first for x in (F.length(p).cast("string"), F.lit(":"), p)]
+    return F.concat(F.lit(kind), *led, last)
+
+
+def _tuples(years: Column, firms: Column, names: Column) -> Column:
+    """Tokens of each year (y), firm (f), year and firm (b), name and firm (p), year and name (m)."""
+    one = [F.transform(years, lambda y: _token("y", y)), F.transform(firms, lambda x: _token("f", x))]
+    two = [F.transform(years, lambda y: F.transform(firms, lambda x: _token("b", y, x))), F.transform(names, lambda n: F.transform(firms, lambda x: _token("p", n, x)))]
+    return F.array_distinct(F.concat(*one, *[F.flatten(t) for t in (*two, F.transform(years, lambda y: F.transform(names, lambda n: _token("m", y, n))))]))
+
+
+def _told(base: DataFrame) -> DataFrame:
+    """(key, tokens, steady): tuples of year, firm and name that the base has of an album (key a...) or of a name (n...).
+
+    Of a name, years and firms alone count in records without an album.
+    """
+    year, none = F.array(F.col("year").cast("int").cast("string")), F.array().cast(_STRINGS)
+    albums = base.filter(_known("album")).select("akey", F.explode(_tuples(year, F.col("firms"), F.col("names"))).alias("t")).groupBy("akey").agg(F.collect_set("t").alias("tokens"))
+    steady = existence(base, "steady_year").groupBy("akey").agg(F.collect_set(F.struct(F.col("year").cast("int").alias("year"), "kind", "platform")).alias("steady"))
+    of_albums = albums.join(steady, "akey", "left").select(F.concat(F.lit("a"), "akey").alias("key"), "tokens", F.coalesce("steady", F.array().cast(f"array<{_STEADY}>")).alias("steady"))
+    mine = F.filter(_tuples(year, F.col("firms"), none), lambda t: (F.col("album") == "") | t.startswith("b"))
+    by_name = base.filter(_known("authors")).select(F.explode("names").alias("n"), mine.alias("ts")).select("n", F.explode("ts").alias("t"))
+    of_names = by_name.groupBy("n").agg(F.collect_set("t").alias("tokens")).select(F.concat(F.lit("n"), "n").alias("key"), "tokens", F.array().cast(f"array<{_STEADY}>").alias("steady"))
+    return of_albums.union(of_names)
+
+
+def _asked() -> list[Column]:
+    """Keys, tokens and years that a hash's own records can ask for."""
+    years = F.array_distinct(F.concat(F.transform("__all", lambda r: r["year"]), F.array(F.col("year").cast("int"))))
+    firms = F.array_distinct(F.concat(F.flatten(F.transform("__all", lambda r: r["firms"])), F.col("firms")))
+    keys = F.concat(F.transform("__all", lambda r: r["akey"]), F.array(F.col("akey")))
+    every = F.array_distinct(F.concat(F.transform(keys, lambda k: F.concat(F.lit("a"), k)), F.transform("names", lambda n: F.concat(F.lit("n"), n))))
+    return [every.alias("__keys"), _tuples(F.transform(years, lambda y: y.cast("string")), firms, F.col("names")).alias("__asked"), years.alias("__years")]
+
+
+def _kept_of_hashes(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """(hash, __known): of the albums and names of a hash's records, the tuples that its own years, firms and names ask for."""
+    met = rows.select("hash", *_asked()).select("hash", "__asked", "__years", F.explode("__keys").alias("key")).join(known, "key")
+    kept = F.struct("key", F.array_intersect("tokens", "__asked").alias("tokens"), F.filter("steady", lambda f: F.array_contains("__years", f["year"])).alias("steady"))
+    return met.select("hash", kept.alias("k")).groupBy("hash").agg(F.collect_list("k").alias("__known"))
+
+
 def fill_conditionally(held: DataFrame, sources: DataFrame, base: DataFrame) -> DataFrame:
     """``held`` (one record per hash) with gaps filled from the hash's own ``sources`` where the knowledge base has met the result.
 
@@ -287,30 +340,25 @@ def fill_conditionally(held: DataFrame, sources: DataFrame, base: DataFrame) ->
     album and publishers, album alone, publishers, year, and so on.  What a rule may take depends on tuples that occur in
     the base: an album brings the (year, firms, names) it occurs with, a hash its authors' (year, firms).  Rules on
     publishers don't trust competitions and parties.  All is one fold per hash over at most one record per source.
-    """
-    facts = (
-        base.filter(_known("album")).groupBy("akey").agg(F.collect_set(F.struct("year", "firms", "names")).alias("facts"))
-        .join(existence(base, "steady_year").groupBy("akey").agg(F.collect_set(F.struct("year", "kind", "platform")).alias("steady")), "akey", "left")
-    )
-    none_facts = F.array().cast("array<struct<year:int,firms:array<string>,names:array<string>>>")
-    none_steady = F.array().cast("array<struct<year:int,kind:string,platform:string>>")
 
-    def with_facts(rows: DataFrame) -> DataFrame:
-        mine = rows.join(facts, "akey", "left")
-        typed = F.transform(F.coalesce("facts", none_facts), lambda f: F.struct(f["year"].cast("int").alias("year"), f["firms"].alias("firms"), f["names"].alias("names")))
-        steady = F.transform(F.coalesce("steady", none_steady), lambda f: F.struct(f["year"].cast("int").alias("year"), f["kind"].alias("kind"), f["platform"].alias("platform")))
-        return mine.withColumn("facts", typed).withColumn("steady", steady)
+    A base's tuples are told once by album and by name, and a hash keeps those only that its own years, firms and names ask for.
+    """
+    known = store(_told(base), "told")
+    given = keyed(sources).groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("priority", _record().alias("r")))).alias("__all"))
+    no_records = F.array().cast(f"array<struct<priority:int,r:{_RECORD_TYPE}>>")
+    rows = keyed(held).join(given, "hash", "left").withColumn("__all", F.transform(F.coalesce("__all", no_records), lambda x: x["r"]))
+    of_hash = _kept_of_hashes(rows, known)
+    joined = rows.join(of_hash, "hash", "left")
+    no_steady, no_tokens = F.array().cast(f"array<{_STEADY}>"), F.array().cast(_STRINGS)
+
+    def with_facts(r: Column) -> Column:
+        """A record with the tokens and the steady years of its album, as far as the hash asks for them."""
+        mine = F.get(F.filter("__known", lambda k: k["key"] == F.concat(F.lit("a"), r["akey"])), F.lit(0))
+        added = [F.coalesce(mine["tokens"], no_tokens).alias("facts"), F.coalesce(mine["steady"], no_steady).alias("steady")]
+        return F.struct(*[r[f].alias(f) for f in fields[:-2]], *added)
 
     fields = ("publishers", "album", "year", "type", "platform", "firms", "facts", "steady")
-    record = F.struct(*[F.col(f).cast("int").alias(f) if f == "year" else F.col(f) for f in fields])
-    given = with_facts(keyed(sources)).groupBy("hash").agg(F.array_sort(F.collect_list(F.struct("priority", record.alias("r")))).alias("__all"))
-    rows = with_facts(keyed(held))
-    by_name = base.filter(_known("authors")).select(F.explode("names").alias("__n"), (F.col("album") == "").alias("bare"), "akey", F.col("year").cast("int").alias("year"), "firms")
-    of_names = by_name.groupBy("__n").agg(F.collect_set(F.struct("bare", "akey", "year", "firms")).alias("__f"))
-    mine = rows.select("hash", F.explode("names").alias("__n")).join(of_names, "__n").groupBy("hash").agg(F.flatten(F.collect_list("__f")).alias("__told"))
-    joined = rows.join(given, "hash", "left").join(mine, "hash", "left")
-    told = F.coalesce("__told", F.array().cast("array<struct<bare:boolean,akey:string,year:int,firms:array<string>>>"))
-    candidates = F.transform(F.coalesce("__all", F.array().cast(f"array<struct<priority:int,r:{_record_type()}>>")), lambda x: x["r"])
+    told = F.coalesce(F.flatten(F.transform(F.filter("__known", lambda k: k["key"].startswith("n")), lambda k: k["tokens"])), no_tokens)
 
     def firm(r: Column) -> Column:
         return F.size(r["publishers"]) > 0
@@ -318,11 +366,20 @@ def fill_conditionally(held: DataFrame, sources: DataFrame, base: DataFrame) ->
     def trusted(s: Column) -> Column:
         return firm(s) & (s["type"] != "Compo") & ~F.get(s["publishers"], F.lit(0)).endswith(" Party")
 
-    def met(facts_of: Column, test: Callable[[Column], Column]) -> Column:
-        return F.exists(facts_of, test)
+    def dated_by(of: Column, year: Column, r: Column) -> Column:
+        return F.exists(r["firms"], lambda x: F.array_contains(of, _token("b", year, x)))
 
-    def shares(f: Column, r: Column) -> Column:
-        return F.arrays_overlap(f["firms"], r["firms"])
+    def in_year(of: Column, year: Column) -> Column:
+        return F.array_contains(of, _token("y", year))
+
+    def shares(of: Column, r: Column) -> Column:
+        return F.exists(r["firms"], lambda x: F.array_contains(of, _token("f", x)))
+
+    def names_share(of: Column, r: Column) -> Column:
+        return F.exists("names", lambda n: F.exists(r["firms"], lambda x: F.array_contains(of, _token("p", n, x))))
+
+    def names_in(of: Column, year: Column) -> Column:
+        return F.exists("names", lambda n: F.array_contains(of, _token("m", year, n)))
 
     def like(s: Column, m: Column, field: str) -> Column:
         a, b = s[field], m[field]
@@ -333,34 +390,30 @@ def fill_conditionally(held: DataFrame, sources: DataFrame, base: DataFrame) ->
         return F.when(s[field] != "", s[field]).otherwise(m[field])
 
     def steady(of: Column, year: Column, s: Column, m: Column) -> Column:
-        return met(of, lambda f: (f["year"] == year) & (f["kind"] == text.normalize_type(either(s, m, "type"))) & (f["platform"] == either(s, m, "platform")))
+        return F.exists(of, lambda f: (f["year"] == year) & (f["kind"] == text.normalize_type(either(s, m, "type"))) & (f["platform"] == either(s, m, "platform")))
 
-    def names_in(f: Column) -> Column:
-        return F.arrays_overlap(f["names"], F.col("names"))
-
-    told_ = lambda test: F.exists(told, test)
     has_names = F.size("authors") > 0
     album, firms_of, dated = ("album", "facts", "steady", "type", "platform"), ("publishers", "firms"), ("year",)
     both = lambda m: (m["year"] != 0) & (m["album"] != "")
     rules = [
-        (lambda s, m: (s["year"] == 0) & (s["album"] == "") & both(m) & trusted(s) & met(m["facts"], lambda f: (f["year"] == m["year"]) & shares(f, s)), (*album, *dated)),
-        (lambda s, m: (s["year"] == 0) & (s["album"] == "") & both(m) & ~firm(s) & met(m["facts"], lambda f: f["year"] == m["year"]), (*album, *dated)),
-        (lambda s, m: (s["album"] == "") & ~firm(s) & (m["album"] != "") & firm(m) & (s["year"] != 0) & met(m["facts"], lambda f: (f["year"] == s["year"]) & shares(f, m)), (*album, *firms_of)),
-        (lambda s, m: (s["album"] == "") & ~firm(s) & (m["album"] != "") & firm(m) & (s["year"] == 0) & met(m["facts"], lambda f: shares(f, m)), (*album, *firms_of)),
-        (lambda s, m: (s["album"] == "") & (m["album"] != "") & (s["year"] != 0) & trusted(s) & met(m["facts"], lambda f: (f["year"] == s["year"]) & shares(f, s)), album),
-        (lambda s, m: (s["album"] == "") & (m["album"] != "") & (s["year"] == 0) & trusted(s) & met(m["facts"], lambda f: shares(f, s)), album),
+        (lambda s, m: (s["year"] == 0) & (s["album"] == "") & both(m) & trusted(s) & dated_by(m["facts"], m["year"], s), (*album, *dated)),
+        (lambda s, m: (s["year"] == 0) & (s["album"] == "") & both(m) & ~firm(s) & in_year(m["facts"], m["year"]), (*album, *dated)),
+        (lambda s, m: (s["album"] == "") & ~firm(s) & (m["album"] != "") & firm(m) & (s["year"] != 0) & dated_by(m["facts"], s["year"], m), (*album, *firms_of)),
+        (lambda s, m: (s["album"] == "") & ~firm(s) & (m["album"] != "") & firm(m) & (s["year"] == 0) & shares(m["facts"], m), (*album, *firms_of)),
+        (lambda s, m: (s["album"] == "") & (m["album"] != "") & (s["year"] != 0) & trusted(s) & dated_by(m["facts"], s["year"], s), album),
+        (lambda s, m: (s["album"] == "") & (m["album"] != "") & (s["year"] == 0) & trusted(s) & shares(m["facts"], s), album),
         (lambda s, m: (s["album"] == "") & (m["album"] != "") & ~firm(s) & (s["year"] != 0) & like(s, m, "type") & like(s, m, "platform") & steady(m["steady"], s["year"], s, m), ("album", "facts", "steady", "+type", "+platform")),
-        (lambda s, m: ~firm(s) & firm(m) & (s["year"] != 0) & (s["album"] != "") & met(s["facts"], lambda f: (f["year"] == s["year"]) & shares(f, m)), firms_of),
-        (lambda s, m: ~firm(s) & firm(m) & (s["year"] == 0) & (s["album"] != "") & met(s["facts"], lambda f: shares(f, m)), firms_of),
-        (lambda s, m: (s["year"] == 0) & (m["year"] != 0) & (s["album"] != "") & trusted(s) & met(s["facts"], lambda f: (f["year"] == m["year"]) & shares(f, s)), dated),
+        (lambda s, m: ~firm(s) & firm(m) & (s["year"] != 0) & (s["album"] != "") & dated_by(s["facts"], s["year"], m), firms_of),
+        (lambda s, m: ~firm(s) & firm(m) & (s["year"] == 0) & (s["album"] != "") & shares(s["facts"], m), firms_of),
+        (lambda s, m: (s["year"] == 0) & (m["year"] != 0) & (s["album"] != "") & trusted(s) & dated_by(s["facts"], m["year"], s), dated),
         (lambda s, m: (s["year"] == 0) & (m["year"] != 0) & (s["album"] != "") & ~firm(s) & like(s, m, "type") & like(s, m, "platform") & steady(s["steady"], m["year"], s, m), (*dated, "+type", "+platform")),
         (lambda s, m: (s["album"] == "") & (m["album"] != "") & has_names & (s["year"] != 0) & trusted(s)
-            & told_(lambda f: (f["year"] == s["year"]) & shares(f, s)) & met(m["facts"], lambda f: names_in(f) & shares(f, s)) & met(m["facts"], lambda f: (f["year"] == s["year"]) & names_in(f)), album),
-        (lambda s, m: (s["album"] == "") & ~firm(s) & (m["album"] != "") & ~firm(m) & has_names & (s["year"] == m["year"]) & (s["year"] != 0) & met(m["facts"], lambda f: (f["year"] == s["year"]) & names_in(f)), album),
-        (lambda s, m: (s["album"] == "") & (m["album"] != "") & (m["year"] == s["year"]) & has_names & trusted(s) & met(m["facts"], lambda f: names_in(f) & shares(f, s)), album),
-        (lambda s, m: (s["year"] == 0) & ~firm(s) & (s["album"] == "") & (m["year"] != 0) & firm(m) & has_names & (m["album"] == "") & told_(lambda f: (f["year"] == m["year"]) & shares(f, m)), (*dated, *firms_of)),
-        (lambda s, m: (s["year"] == 0) & (s["album"] == "") & (m["year"] != 0) & has_names & (m["album"] == "") & told_(lambda f: f["bare"] & (f["year"] == m["year"])), dated),
-        (lambda s, m: ~firm(s) & (s["album"] == "") & firm(m) & (m["year"] == s["year"]) & has_names & (m["album"] == "") & told_(lambda f: f["bare"] & shares(f, m)), firms_of),
+            & dated_by(told, s["year"], s) & names_share(m["facts"], s) & names_in(m["facts"], s["year"]), album),
+        (lambda s, m: (s["album"] == "") & ~firm(s) & (m["album"] != "") & ~firm(m) & has_names & (s["year"] == m["year"]) & (s["year"] != 0) & names_in(m["facts"], s["year"]), album),
+        (lambda s, m: (s["album"] == "") & (m["album"] != "") & (m["year"] == s["year"]) & has_names & trusted(s) & names_share(m["facts"], s), album),
+        (lambda s, m: (s["year"] == 0) & ~firm(s) & (s["album"] == "") & (m["year"] != 0) & firm(m) & has_names & (m["album"] == "") & dated_by(told, m["year"], m), (*dated, *firms_of)),
+        (lambda s, m: (s["year"] == 0) & (s["album"] == "") & (m["year"] != 0) & has_names & (m["album"] == "") & in_year(told, m["year"]), dated),
+        (lambda s, m: ~firm(s) & (s["album"] == "") & firm(m) & (m["year"] == s["year"]) & has_names & (m["album"] == "") & shares(told, m), firms_of),
     ]
 
     def apply(state: Column, rule) -> Column:
@@ -373,17 +426,12 @@ def fill_conditionally(held: DataFrame, sources: DataFrame, base: DataFrame) ->
 
         return F.aggregate(F.col("__candidates"), state, step)
 
-    prepared = joined.withColumn("__candidates", candidates).withColumn("__state", record)
+    prepared = joined.withColumn("__candidates", F.transform("__all", with_facts)).withColumn("__state", with_facts(_record()))
     for rule in rules:
         prepared = prepared.withColumn("__state", apply(F.col("__state"), rule))
     return prepared.select(*[F.col(f"__state.{c}").alias(c) if c in fields else F.col(c) for c in held.columns])
 
 
-def _record_type() -> str:
-    fact, steady = "struct<year:int,firms:array<string>,names:array<string>>", "struct<year:int,kind:string,platform:string>"
-    return f"struct<publishers:array<string>,album:string,year:int,type:string,platform:string,firms:array<string>,facts:array<{fact}>,steady:array<{steady}>>"
-
-
 def present(records: DataFrame, handles: DataFrame | None = None) -> DataFrame:
     """``records`` as they are shown: cracktros' albums end with `[cracktro]`, other games' lose the endings of previews.
 

@@ -275,3 +275,14 @@ def test_final_passes(spark):
     got = as_rows(knowledge.final_passes(held, base))
     assert got == sorted((r["hash"], *[r[f] for f in FIELDS]) for r in rows)
     assert sum(a != (r[0], *r[2:]) for a, r in zip(got, started, strict=True)) > 5
+
+
+def test_hashes_keep_what_they_ask_for(spark):
+    """What goes along with a hash doesn't grow with what the base has of its albums and names."""
+    facts = spark.createDataFrame([(i, 0, ["Ann"], [f"Firm{i % 50}"], "Album", 1990 + i % 40, "Game", "PC") for i in range(2000)], SCHEMA)
+    held = spark.createDataFrame([(1, 0, ["Ann"], ["Firm7"], "Album", 1997, "", "")], SCHEMA)
+    known = knowledge._told(knowledge.knowledge_base(facts))
+    assert max(len(r["tokens"]) for r in known.collect()) > 200
+    rows = knowledge.keyed(held).selectExpr("*", f"cast(array() as array<{knowledge._RECORD_TYPE}>) as __all")
+    kept = knowledge._kept_of_hashes(rows, known).first()["__known"]
+    assert sorted(len(k["tokens"]) for k in kept) == [1, 5] and all(len(k["steady"]) <= 1 for k in kept)
